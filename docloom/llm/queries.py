@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docloom.llm import emails
+from docloom.llm import canonical, emails, pack, pii, split
 from docloom.llm.sql import ORACLE
 from docloom.plans.data import table
 
@@ -21,5 +22,45 @@ def p2_new_bodies(spark: SparkSession, d: str) -> DataFrame:
     return emails.new_bodies(_mails(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_new_bodies)}
+def _pii(spark: SparkSession, d: str, make) -> DataFrame:
+    texts = table(spark, d, "redaction_results"), table(spark, d, "search_results")
+    return make(texts[0], "redaction_id", ["redacted_text"]).unionByName(make(texts[1], "id", ["customer_comments", "current_narrative"]))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _pii(spark, d, pii.found).drop("end_pos").distinct()
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return _pii(spark, d, pii.redacted)
+
+
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    vendors = canonical.entries_of(table(spark, d, "vendor_mapping"), "id", "account_name", "aliases")
+    clients = canonical.entries_of(table(spark, d, "client_registry"), "salesforce_client_id", "client_name", "aliases")
+    return canonical.resolved(table(spark, d, "search_results"), "id", {"vendor": vendors, "vendor_name": vendors, "client": clients})
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _names(spark, d).select("field", "id", "account_id").distinct()
+
+
+def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The values that mean no listed entry, with their number of rows."""
+    return _names(spark, d).where("account_id = ''").groupBy("field", "value").agg(F.count("*").alias("n_rows"))
+
+
+def p7_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split.split_rows(table(spark, d, "parsed_content"), "content_id", "text")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_pieces(spark, d).where("chunk_index = 0").select("content_id").distinct()
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    return pack.packed(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_new_bodies, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers)}
 __all__ = ["ORACLE", "QUERIES"]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import pathlib
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +58,22 @@ def salted_left_join(
         .join(wide, [*keys, "_salt"], "left")
         .drop("_salt")
     )
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, through Spark's own file service."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="docloom-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = pathlib.Path(folder, "docloom.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for path in sorted(root.rglob("*.py")):
+            packed.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

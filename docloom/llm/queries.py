@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import canonical, emails, pack, pii, split
+from docloom.llm import canonical, emails, leaks, pack, pii, spans, split
 from docloom.llm.sql import ORACLE
 from docloom.plans.data import table
 
@@ -62,5 +62,33 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return pack.packed(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_new_bodies, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers)}
+def p9_spans(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "item_text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_spans(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """The items that leaked, with the documents and spans that hold them."""
+    return p9_spans(spark, d).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.count("*").alias("n_spans"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = spans.shared_pairs(table(spark, d, "documents"), "doc_id", "text")
+    return pairs.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
+
+
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    return spans.shares(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p2_found, p2_new_bodies, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
+        p9_found, p9_spans, p9_items, p10_found, p10_shares,
+    )
+}
 __all__ = ["ORACLE", "QUERIES"]

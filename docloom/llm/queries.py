@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import canonical, emails, leaks, pack, pii, spans, split
+from docloom.llm import canonical, emails, leaks, neardup, pack, pii, spans, split
 from docloom.llm.sql import ORACLE
 from docloom.plans.data import table
 
@@ -22,6 +22,15 @@ def p2_new_bodies(spark: SparkSession, d: str) -> DataFrame:
     return emails.new_bodies(_mails(spark, d))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = neardup.similar_pairs(table(spark, d, "parsed_content"), "content_id", "text")
+    return pairs.select(F.col("id_a").alias("content_id_a"), F.col("id_b").alias("content_id_b"))
+
+
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.groups(table(spark, d, "parsed_content"), "content_id", "text")
+
+
 def _pii(spark: SparkSession, d: str, make) -> DataFrame:
     texts = table(spark, d, "redaction_results"), table(spark, d, "search_results")
     return make(texts[0], "redaction_id", ["redacted_text"]).unionByName(make(texts[1], "id", ["customer_comments", "current_narrative"]))
@@ -87,7 +96,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_new_bodies, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
+        p2_found, p2_new_bodies, p4_found, p4_groups, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
         p9_found, p9_spans, p9_items, p10_found, p10_shares,
     )
 }

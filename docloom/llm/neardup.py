@@ -59,49 +59,69 @@ def shingle_sets(df: DataFrame, key: str, text: str, words: int = WORDS) -> Data
     return rows.mapInPandas(each, f"id {kind}, class bigint, n int, items array<bigint>")
 
 
-def _merge(lists: list[list[tuple[int, int]]], me: tuple[int, int], low: int) -> list[tuple[int, int]]:
-    """Heap-merge sorted lists of ``(n, class)``: each partner below ``me`` with its number of occurrences."""
-    out: list[tuple[int, int]] = []
-    last, count = None, 0
+def _merge(lists: list[list[int]]) -> Iterator[tuple[int, int]]:
+    """Heap-merge ascending lists: each entry with the number of lists it is in."""
+    last, count = -1, 0
     for entry in heapq.merge(*lists) if len(lists) > 1 else lists[0]:
-        if entry >= me:
-            break
-        if entry[0] < low:
-            continue
         if entry == last:
             count += 1
         else:
-            if last is not None:
-                out.append((last[1], count))
+            if count:
+                yield last, count
             last, count = entry, 1
-    if last is not None:
-        out.append((last[1], count))
-    return out
+    if count:
+        yield last, count
 
 
 def _merge_shard(similarity: float):
+    """Partners of every set over the short lists of one shard: ``a, b, k``, ``b`` being the smaller set.
+
+    An entry at place ``f`` of the repeated shingles of its set, with ``r`` behind it, can lead to an overlap of at
+    most ``min(f) + 1 + min(r)``; entries that cannot reach what the two sizes ask for are not merged.
+    """
+    share = similarity / (1 + similarity)
+
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["item", "i", "j", "n", "class"], kind="stable")
-        lists: list[list[tuple[int, int]]] = []
-        asks: dict[tuple[int, int], list[int]] = {}
-        keys = zip(pdf["item"].tolist(), pdf["i"].tolist(), pdf["j"].tolist(), strict=True)
-        last = None
-        for key, n, c, block in zip(keys, pdf["n"].tolist(), pdf["class"].tolist(), pdf["block"].tolist(), strict=True):
-            if key != last:
-                # Two lists for a pair of blocks, each asked by the other block's members; one for a block alone.
-                lists += [[], []]
-                last = key
-            side = 0 if block == key[1] else 1
-            own = len(lists) - 2 + side
-            lists[own].append((n, c))
-            asks.setdefault((n, c), []).append(own if key[1] == key[2] else own ^ 1)
+        pdf = pdf.sort_values(["n", "class"], kind="stable")
+        n, c = pdf["n"].to_numpy(), pdf["class"].to_numpy()
+        ident = np.cumsum(np.append(False, (n[1:] != n[:-1]) | (c[1:] != c[:-1])))
+        first = np.append(0, np.flatnonzero(np.diff(ident)) + 1)
+        sizes, classes = n[first], c[first]
+        f, r = pdf["f"].to_numpy(), pdf["r"].to_numpy()
+        # Lists are runs of one shingle, block pair and side; within a run the entries ascend.
+        side = (pdf["block"].to_numpy() != pdf["i"].to_numpy()).astype(np.int8)
+        keys = [pdf[x].to_numpy() for x in ("item", "i", "j")]
+        order = np.lexsort((ident, side, keys[2], keys[1], keys[0]))
+        parts = [x[order] for x in (*keys, side)]
+        new = np.append(True, np.any([x[1:] != x[:-1] for x in parts], axis=0))
+        starts = np.append(np.flatnonzero(new), len(order))
+        run = np.cumsum(new) - 1
+        where = {key: k for k, key in enumerate(zip(*(x[starts[:-1]].tolist() for x in parts), strict=True))}
+        ident, f, r, n = ident[order], f[order], r[order], n[order]
+        inside = parts[1] == parts[2]
+        asks: dict[int, list[tuple[int, int]]] = {}
+        for at in range(len(order)):
+            own = run[at]
+            if not inside[at]:
+                own = where.get((int(parts[0][at]), int(parts[1][at]), int(parts[2][at]), 1 - int(parts[3][at])), -1)
+            if own >= 0 and starts[own + 1] - starts[own] > inside[at]:
+                asks.setdefault(int(ident[at]), []).append((at, own))
         a, b, k = [], [], []
-        for me, which in asks.items():
-            for partner, count in _merge([lists[w] for w in which], me, math.ceil(similarity * me[0] - 1e-9)):
-                a.append(me[1])
-                b.append(partner)
-                k.append(count)
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64), "k": np.array(k, np.int32)})
+        for me, entries in asks.items():
+            low = int(np.searchsorted(sizes, math.ceil(similarity * int(sizes[me]) - 1e-9)))
+            lists = []
+            for at, own in entries:
+                part = slice(*(starts[own] + np.searchsorted(ident[starts[own] : starts[own + 1]], (low, me))))
+                reach = np.minimum(f[part], f[at]) + 1 + np.minimum(r[part], r[at]) + 1e-9
+                good = ident[part][reach >= share * (n[part] + n[at])]
+                if len(good):
+                    lists.append(good.tolist())
+            if lists:
+                for partner, count in _merge(lists):
+                    a.append(me)
+                    b.append(partner)
+                    k.append(count)
+        return pd.DataFrame({"a": classes[np.array(a, np.int64)], "b": classes[np.array(b, np.int64)], "k": np.array(k, np.int32)})
 
     return each
 
@@ -113,11 +133,13 @@ def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int
     listed = postings.join(frequency, "item").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("l"))
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
     take = (F.col("n") - least + F.least(F.lit(short), least)) - (F.col("n") - F.size("l"))
-    brief = listed.where(take > 0).select("class", "n", F.inline(F.slice("l", F.lit(1), take)))
+    brief = listed.where((take > 0) & (F.size("l") >= least)).select(
+        "class", "n", F.size("l").alias("m"), F.posexplode(F.slice("l", F.lit(1), take)).alias("f", "x")
+    ).select("class", "n", "f", (F.col("m") - F.col("f") - 1).alias("r"), "x.df", "x.item")
     blocks = F.ceil(F.col("df") / BLOCK).cast("int")
     brief = brief.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     spread = brief.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("item", "class", "n", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    spread = spread.select("item", "class", "n", "f", "r", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     total = sets.agg(F.sum("n")).first()[0] or 0
     shards = max(shuffle_width(sets.sparkSession), -(-total // SHARD_ROWS))
     sharded = spread.withColumn("shard", F.pmod(F.xxhash64("item", "i", "j"), F.lit(shards)))

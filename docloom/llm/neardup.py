@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,6 +97,7 @@ def _merge_shard(similarity: float):
         new = np.append(True, np.any([x[1:] != x[:-1] for x in parts], axis=0))
         starts = np.append(np.flatnonzero(new), len(order))
         run = np.cumsum(new) - 1
+        bounds = starts.tolist()
         where = {key: k for k, key in enumerate(zip(*(x[starts[:-1]].tolist() for x in parts), strict=True))}
         ident, f, r, n = ident[order], f[order], r[order], n[order]
         inside = parts[1] == parts[2]
@@ -107,15 +109,22 @@ def _merge_shard(similarity: float):
             if own >= 0 and starts[own + 1] - starts[own] > inside[at]:
                 asks.setdefault(int(ident[at]), []).append((at, own))
         a, b, k = [], [], []
+        names, places, rests, counts = ident.tolist(), f.tolist(), r.tolist(), n.tolist()
         for me, entries in asks.items():
             low = int(np.searchsorted(sizes, math.ceil(similarity * int(sizes[me]) - 1e-9)))
             lists = []
             for at, own in entries:
-                part = slice(*(starts[own] + np.searchsorted(ident[starts[own] : starts[own + 1]], (low, me))))
-                reach = np.minimum(f[part], f[at]) + 1 + np.minimum(r[part], r[at]) + 1e-9
-                good = ident[part][reach >= share * (n[part] + n[at])]
-                if len(good):
-                    lists.append(good.tolist())
+                begin, end = bounds[own], bounds[own + 1]
+                begin, end = bisect_left(names, low, begin, end), bisect_left(names, me, begin, end)
+                if end - begin > 64:
+                    part = slice(begin, end)
+                    reach = np.minimum(f[part], f[at]) + 1 + np.minimum(r[part], r[at]) + 1e-9
+                    good = ident[part][reach >= share * (n[part] + n[at])].tolist()
+                else:
+                    front, rest, need = places[at], rests[at], share * counts[at] - 1 - 1e-9
+                    good = [names[x] for x in range(begin, end) if min(places[x], front) + min(rests[x], rest) >= need + share * counts[x]]
+                if good:
+                    lists.append(good)
             if lists:
                 for partner, count in _merge(lists):
                     a.append(me)

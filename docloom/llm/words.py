@@ -25,8 +25,9 @@ def word_numbers(words: list[str]) -> np.ndarray:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     except KeyError:
         number = xxhash.xxh3_64_intdigest
-        for word in set(words) - known.keys():
-            known[word] = number(word)
+        for word in words:
+            if word not in known:
+                known[word] = number(word)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 

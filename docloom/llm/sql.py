@@ -1,3 +1,29 @@
 """SQL equivalents of the queries of this subpackage, for DuckDB."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+_WORDS = "regexp_extract_all(lower({t}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _runs(key: str, text: str, table: str, n: int) -> str:
+    """Distinct runs of ``n`` words: ``k, g``."""
+    return (
+        f"SELECT DISTINCT k, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT k, w, unnest(range(1, len(w) - {n - 2})) AS i "
+        f"FROM (SELECT {key} AS k, {_WORDS.format(t=text)} AS w FROM {table} WHERE {text} IS NOT NULL))"
+    )
+
+
+ORACLE: dict[str, str] = {
+    "p4_found": f"""WITH s AS ({_runs('content_id', 'text', 'parsed_content', 3)}), n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+        o AS (SELECT a.k AS a, b.k AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.k < b.k GROUP BY ALL)
+        SELECT o.a AS content_id_a, o.b AS content_id_b FROM o JOIN n x ON x.k = o.a JOIN n y ON y.k = o.b WHERE o.o >= 0.7 * (x.n + y.n - o.o) - 1e-9""",
+    "p7_found": "SELECT DISTINCT content_id FROM parsed_content WHERE length(text) > 6000",
+    "p9_found": f"""WITH d AS ({_runs('doc_id', 'text', 'documents', 12)}), i AS ({_runs('item_id', 'item_text', 'eval_items', 12)})
+        SELECT DISTINCT d.k AS doc_id, i.k AS item_id FROM d JOIN i ON d.g = i.g""",
+    "p9_items": f"""WITH d AS ({_runs('doc_id', 'text', 'documents', 12)}), i AS ({_runs('item_id', 'item_text', 'eval_items', 12)}),
+        p AS (SELECT DISTINCT d.k AS doc_id, i.k AS item_id FROM d JOIN i ON d.g = i.g)
+        SELECT item_id, count(*) AS n_docs FROM p GROUP BY 1""",
+    "p10_found": """WITH g AS (SELECT DISTINCT doc_id, hash(substr(text, i, 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
+        r AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1), k AS (SELECT g.* FROM g SEMI JOIN r ON g.h = r.h)
+        SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",
+}

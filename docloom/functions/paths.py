@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Spellings of company names in paths that stand for another name.
 NAME_ALIASES = (("p&g", "Procter & Gamble"), ("procter_gamble", "Procter & Gamble"), ("pg", "Procter & Gamble"))
 
+_YEAR = r"(?i)(\d{4})\s*deal\s*docs?"
+
 
 def extension(value: Column) -> Column:
     """Lower-case extension with a dot; the empty string for null and blank."""
@@ -33,18 +35,20 @@ def company_name(value: Column) -> Column:
 def path_fields(df: DataFrame, path: str) -> DataFrame:
     """Adds ``year, week_number, week_date, vendor, client, deal_number, deal_name, confidence, problems``.
 
-    Parts are read by place: root, year folder, week folder, vendor, client, deal. Each part that can be
-    read adds 0.2 to the confidence, and a vendor named in the deal adds 0.1. A null path has nothing.
+    Parts are read by place: root folder, year folder, week folder, vendor, client, deal; a path may begin
+    with its year folder. Each part that can be read adds 0.2 to the confidence, and a vendor named in the
+    deal adds 0.1. A null path has nothing.
     """
-    parts = F.split(F.concat(F.lit("/"), F.col(path)), "/")
-    df = df.withColumn("__parts", F.when(F.col(path).isNotNull(), F.when(F.startswith(F.col(path), F.lit("/")), parts).otherwise(F.split(path, "/"))))
+    parts = F.split(F.concat(F.lit("/"), F.ltrim(F.col(path), F.lit("/"))), "/")
+    rooted = F.when(F.coalesce(F.get(parts, F.lit(1)), F.lit("")).rlike(_YEAR), F.concat(F.array(F.lit("")), parts)).otherwise(parts)
+    df = df.withColumn("__parts", F.when(F.col(path).isNotNull(), rooted))
     part = lambda i: F.coalesce(F.get("__parts", F.lit(i)), F.lit(""))
     group = lambda i, rx, k: F.nullif(F.regexp_extract(part(i), rx, k), F.lit(""))
     week = r"(?i)week(\d+)-(\d{2})(\d{2})(\d{4})"
     size = F.coalesce(F.size("__parts"), F.lit(0))
     df = df.withColumns(
         {
-            "year": group(2, r"(?i)(\d{4})\s*deal\s*docs?", 1),
+            "year": group(2, _YEAR, 1),
             "week_number": group(3, week, 1).try_cast("int"),
             "week_date": F.nullif(F.concat_ws("/", group(3, week, 2), group(3, week, 3), group(3, week, 4)), F.lit("")),
             "vendor": F.nullif(company_name(part(4)), F.lit("")),

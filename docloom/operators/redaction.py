@@ -127,7 +127,11 @@ def merge_spans(spans: Column) -> Column:
 
 def apply_spans(text: Column, spans: Column, tokens: dict[str, str]) -> Column:
     """The text with its (merged) spans replaced by the token of their kind; placeholders that stand are not touched."""
-    free = F.filter(spans, lambda s: ~F.regexp_extract(F.substring(text, F.greatest(s["start"] - 80, F.lit(0)) + 1, F.lit(81)), r"<<[^>]*$", 0).contains("<<"))
+    def inside(s: Column) -> Column:
+        back = F.greatest(s["start"] - 80, F.lit(0))
+        return F.substring(text, (back + 1).cast("int"), (s["start"] - back + 1).cast("int")).rlike("<<[^>]*$")
+
+    free = F.filter(spans, lambda s: ~inside(s))
     ordered = F.reverse(F.array_sort(free))
     named = F.create_map(*[F.lit(x) for pair in tokens.items() for x in pair])
 

@@ -318,7 +318,7 @@ ORACLE = {
           UNION ALL SELECT path, 'version_name', 4, seq, ref FROM e JOIN c ON fn = regexp_replace(stem, '({"|".join(enrich.VERSION_ENDINGS)})$', '') || ext
           UNION ALL SELECT path, 'bare_name', 5, seq, ref FROM e JOIN c ON fn = stem
           UNION ALL SELECT path, 'base_name', 6, seq, ref FROM e JOIN c ON string_split(rp, '/')[-1] = string_split(path, '/')[-1]),
-        b AS (SELECT path, min_by(method, rank * 1000000000 + seq) AS method, min_by(ref, rank * 1000000000 + seq) AS ref FROM h GROUP BY 1)
+        b AS (SELECT path, min_by(method, rank::BIGINT * 1000000000 + seq) AS method, min_by(ref, rank::BIGINT * 1000000000 + seq) AS ref FROM h GROUP BY 1)
         SELECT coalesce(method, 'none') AS method, count(*) AS n_files, count(DISTINCT ref) AS n_refs FROM f LEFT JOIN b USING (path) GROUP BY 1""",
     "vendor_backfill": f"SELECT r.load_seq, CASE WHEN r.vendor_name IS NOT NULL AND lower(trim(r.vendor_name)) NOT IN {_MISS} THEN r.vendor_name ELSE v.account_name END AS vendor_name, CASE WHEN r.vendor_name IS NOT NULL AND lower(trim(r.vendor_name)) NOT IN {_MISS} THEN 'kept' WHEN v.account_name IS NOT NULL THEN 'filled' ELSE 'missing' END AS vendor_name_source FROM search_results r LEFT JOIN vendor_mapping v ON v.id = trim(r.vendor_id)",
     "short_id_clients": "SELECT c.client_name, count(*) AS n_rows FROM search_results r JOIN client_registry c ON c.account_id = substr(trim(r.client_id), 1, 15) GROUP BY 1",

@@ -168,7 +168,8 @@ _label_sql = (
     + " ".join(f"WHEN contains({_low}, {_q(n.lower())}) OR contains({_q(n.lower())}, {_low}) THEN {_q(n)}" for n in _labels) + " END"
 )
 _suffix = ", ".join(f"CASE WHEN {c} <> '' THEN '{n}: ' || {c} END" for n, c in (("vendor", "vendor"), ("client", "client"), ("deal", "deal_name")))
-_part = "string_split(CASE WHEN starts_with(path, '/') THEN '/' || path ELSE path END, '/')"
+_split = "string_split('/' || ltrim(path, '/'), '/')"
+_part = f"CASE WHEN regexp_matches({_split}[2], '(?i)(\\d{{4}})\\s*deal\\s*docs?') THEN list_concat([''], {_split}) ELSE {_split} END"
 _company = (
     "CASE WHEN coalesce({p}, '') = '' THEN NULL WHEN contains(lower(trim(translate({p}, '_-', '  '))), 'p&g') OR contains(lower(trim(translate({p}, '_-', '  '))), 'pg') THEN 'Procter & Gamble' "
     "ELSE nullif(array_to_string(list_transform(string_split(regexp_replace(trim(translate({p}, '_-', '  ')), '\\s+', ' ', 'g'), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' '), '') END"

@@ -176,7 +176,8 @@ def _shard_hits(texts: list[str | None], known: dict[str, int], phrases: np.ndar
 def leaks(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, least: int = LEAST) -> DataFrame:
     """``key, item_key, first_word, n_words``: the spans of each document that stand in an item.
 
-    A span is a maximal union of overlapping occurrences of phrases of one item.
+    A span is a maximal union of overlapping occurrences of phrases of one item. Where both keys have one name,
+    the item's gets the ending ``_item``.
     """
     rows = items.select(F.col(item_key).alias("k"), F.col(item_text).alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
@@ -187,7 +188,8 @@ def leaks(documents: DataFrame, key: str, text: str, items: DataFrame, item_key:
     by_phrase = np.argsort(phrase, kind="stable")
     limits = np.searchsorted(phrase[by_phrase], np.arange(len(phrases) + 1))
     sent = documents.sparkSession.sparkContext.broadcast((known, phrases, owner[by_phrase], limits, [k for k, _ in listed]))
-    kinds = {key: dict(documents.dtypes)[key], item_key: dict(items.dtypes)[item_key]}
+    kinds = (dict(documents.dtypes)[key], dict(items.dtypes)[item_key])
+    item_key = item_key if item_key != key else f"{item_key}_item"
 
     def one(keys: list, texts: list[str | None]) -> pd.DataFrame:
         known, phrases, owner, limits, names = sent.value
@@ -220,4 +222,4 @@ def leaks(documents: DataFrame, key: str, text: str, items: DataFrame, item_key:
             yield one(keys, texts)
 
     found = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null")
-    return found.mapInPandas(each, f"`{key}` {kinds[key]}, `{item_key}` {kinds[item_key]}, first_word bigint, n_words bigint")
+    return found.mapInPandas(each, f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, first_word bigint, n_words bigint")

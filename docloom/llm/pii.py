@@ -13,6 +13,7 @@ in a text are left alone; repeated rows give repeated results (queries take them
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -298,13 +299,13 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     """Non-overlapping ``kind, start, end`` in order of position; positions count code points."""
     if not text:
         return []
-    held = [m.span() for m in _HELD.finditer(text)]
-    order = sorted(set(_spans(text)), key=lambda s: (KINDS.index(s[0]), s[1] - s[2], s[1]))
-    taken: list[tuple[str, int, int]] = []
-    for kind, begin, end in order:
-        if all(end <= b or begin >= e for b, e in held) and all(end <= b or begin >= e for _, b, e in taken):
-            taken.append((kind, begin, end))
-    return sorted(taken, key=lambda s: s[1])
+    # Disjoint ranges in order of position; a candidate only has to be held against its neighbours.
+    taken: list[tuple[int, int, str]] = [(*m.span(), "") for m in _HELD.finditer(text)]
+    for kind, begin, end in sorted(set(_spans(text)), key=lambda s: (KINDS.index(s[0]), s[1] - s[2], s[1])):
+        at = bisect_left(taken, (begin,))
+        if (at == 0 or taken[at - 1][1] <= begin) and (at == len(taken) or end <= taken[at][0]):
+            taken.insert(at, (begin, end, kind))
+    return [(kind, begin, end) for begin, end, kind in taken if kind]
 
 
 def redact(text: str | None) -> str | None:

@@ -92,19 +92,30 @@ def anchors(texts: list[str], length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return which, at - (ends[which] - sizes[which]), hashes[at]
 
 
+def _pieces(classes: list[int], texts: list[str], length: int) -> Iterator[tuple[int, int, str]]:
+    """Class, offset and text; very long texts in pieces that overlap by what a window of the full length needs."""
+    for label, text in zip(classes, texts, strict=True):
+        for start in range(0, max(1, len(text) - length + 1), BATCH_CHARS):
+            yield label, start, text[start : start + BATCH_CHARS + length - 1]
+
+
 def _anchor_rows(length: int):
+    def batched(held: list[tuple[int, int, str]]) -> pd.DataFrame:
+        which, at, hashes = anchors([t for _, _, t in held], length)
+        label, first = (np.array([h[i] for h in held], np.int64) for i in (0, 1))
+        return pd.DataFrame({"hash": hashes, "class": label[which], "pos": (at + first[which]).astype("int32")})
+
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            classes, texts = batch["class"].to_numpy(), batch["text"].tolist()
-            start = 0
-            while start < len(texts):
-                stop, size = start, 0
-                while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BATCH_CHARS):
-                    size += len(texts[stop])
-                    stop += 1
-                which, at, hashes = anchors(texts[start:stop], length)
-                yield pd.DataFrame({"hash": hashes, "class": classes[start:stop][which], "pos": at.astype("int32")})
-                start = stop
+            held, size = [], 0
+            for piece in _pieces(batch["class"].tolist(), batch["text"].tolist(), length):
+                if held and size + len(piece[2]) > BATCH_CHARS:
+                    yield batched(held)
+                    held, size = [], 0
+                held.append(piece)
+                size += len(piece[2])
+            if held:
+                yield batched(held)
 
     return each
 

@@ -27,7 +27,7 @@ PLACEHOLDERS = {"email": "<<EMAIL>>", "phone": "<<PHONE>>", "national_id": "<<NA
 
 # Given names that mark a person's name (lower case).
 GIVEN = (
-    "amir ana anna beate boris bram carla celia colm dario diana dunja edda elena emeka emma felix freya goran greta hamid hana hanna hugo ines "
+    "amir ana ann anna beate boris bram carla celia colm dario diana dunja edda elena emeka emma felix freya goran greta hamid hana hanna hugo ines "
     "ingrid irina ivo jonas joyce kavya kofi lars laura lena luisa lukas marco maria marta mateo milo mina nadia niels nina nora olga omar oona "
     "otto pavel petra priya quentin rafael rosa ruth sanna sara sofia stefan tara tomas ugo ulla ulrike vera viktor wanda wen ximena yara yusuf "
     "zeno zora james john robert michael william david richard thomas mary patricia jennifer linda elizabeth susan jessica sarah karen nancy lisa "

@@ -33,17 +33,16 @@ def parent_rows(df: DataFrame, table: str, key: str, at: str, deleted: Column, s
 
 
 def reference_rows(df: DataFrame, key: str, at: str, columns: dict[str, tuple[str, tuple[str, ...]]]) -> DataFrame:
-    """Rows ``ref_table, id, ref, first_ref`` of the non-missing references.
+    """Rows ``ref_table, id, ref, first_ref``; ``ref`` is null where the reference is missing.
 
-    ``columns`` maps a reference column to its table and to further spellings that mean "none".
+    ``columns`` maps a reference column to its table and to further spellings that mean "none". Rows without
+    a reference stay, as they too tell since when an id is there.
     """
     pairs = F.array(*[
-        F.struct(F.lit(table).alias("ref_table"), F.when(~F.trim(F.col(c)).isin(*none), F.trim(F.col(c))).alias("ref"))
+        F.struct(F.lit(table).alias("ref_table"), F.when(~is_missing(F.col(c)) & ~F.trim(F.col(c)).isin(*none), F.trim(F.col(c))).alias("ref"))
         for c, (table, none) in columns.items()
     ])
-    return df.select(
-        F.inline(F.filter(pairs, lambda x: ~is_missing(x["ref"]))), F.col(key).alias("id"), F.col(at).cast("timestamp").alias("first_ref")
-    ).select("ref_table", "id", "ref", "first_ref")
+    return df.select(F.inline(pairs), F.col(key).alias("id"), F.col(at).cast("timestamp").alias("first_ref")).select("ref_table", "id", "ref", "first_ref")
 
 
 def _fold_parents(rows: DataFrame) -> DataFrame:
@@ -55,7 +54,7 @@ def _fold_parents(rows: DataFrame) -> DataFrame:
 def _fold_references(rows: DataFrame) -> DataFrame:
     """One row per referring id and reference, at the earliest time of that id (over all of its rows)."""
     each = rows.groupBy("ref_table", "id").agg(F.min("first_ref").alias("first_ref"), F.collect_set("ref").alias("refs"))
-    return each.select("ref_table", "id", F.explode("refs").alias("ref"), "first_ref")
+    return each.select("ref_table", "id", F.explode_outer("refs").alias("ref"), "first_ref")
 
 
 def spellings(parents: DataFrame) -> DataFrame:
@@ -110,7 +109,8 @@ class OrphanState:
 
         A hot key is spread over salts, so no task holds all references to one record.
         """
-        found = salted_left_join(self.references, spellings(self.parents), ["ref_table", "ref"], F.xxhash64("id"))
+        asked = self.references.where(F.col("ref").isNotNull())
+        found = salted_left_join(asked, spellings(self.parents), ["ref_table", "ref"], F.xxhash64("id"))
         state = (
             F.when(F.col("p").isNull(), "absent")
             .when(F.col("p.deleted"), "deleted")

@@ -62,8 +62,8 @@ WITH refs AS (
     UNION ALL SELECT id, 'vendors', vendor_id, indexed_at FROM search_results)
   WHERE ref IS NOT NULL AND lower(trim(ref)) NOT IN {_MISSING}
     AND NOT (ref_table <> 'deals' AND trim(ref) IN ('Unknown Client', 'Unknown Vendor'))),
-firsts AS (SELECT id, ref_table, min(indexed_at) AS first_ref FROM refs GROUP BY ALL),
-each AS (SELECT DISTINCT r.id, r.ref_table, r.ref, f.first_ref FROM refs r JOIN firsts f ON r.ref_table = f.ref_table AND r.id IS NOT DISTINCT FROM f.id),
+firsts AS (SELECT id, min(indexed_at) AS first_ref FROM search_results GROUP BY ALL),
+each AS (SELECT DISTINCT r.id, r.ref_table, r.ref, f.first_ref FROM refs r JOIN firsts f ON r.id IS NOT DISTINCT FROM f.id),
 parents AS (
   SELECT 'deals' AS ref_table, id AS pid, name, NULL AS prefix, min(exported_at) AS first_seen,
          coalesce(lower(trim(max_by(coalesce(is_deleted, ''), struct_pack(a := exported_at, b := load_seq)))) IN ('true', '1', 'yes'), false) AS deleted

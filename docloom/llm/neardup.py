@@ -130,7 +130,8 @@ def _merge_shard(similarity: float):
                     a.append(me)
                     b.append(partner)
                     k.append(count)
-        return pd.DataFrame({"a": classes[np.array(a, np.int64)], "b": classes[np.array(b, np.int64)], "k": np.array(k, np.int32)})
+        small = np.array(b, np.int64)
+        return pd.DataFrame({"a": classes[np.array(a, np.int64)], "b": classes[small], "n_b": sizes[small].astype(np.int32), "k": np.array(k, np.int32)})
 
     return each
 
@@ -152,12 +153,12 @@ def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int
     total = sets.agg(F.sum("n")).first()[0] or 0
     shards = max(shuffle_width(sets.sparkSession), -(-total // SHARD_ROWS))
     sharded = spread.withColumn("shard", F.pmod(F.xxhash64("item", "i", "j"), F.lit(shards)))
-    merged = sharded.groupBy("shard").applyInPandas(_merge_shard(similarity), "a bigint, b bigint, k int")
-    counted = merged.groupBy("a", "b").agg(F.sum("k").alias("k"))
-    one = sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
-    two = sets.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b"))
+    merged = sharded.groupBy("shard").applyInPandas(_merge_shard(similarity), "a bigint, b bigint, n_b int, k int")
     enough = F.col("k") >= F.least(F.lit(short), F.ceil(F.col("n_b") * similarity - 1e-9))
-    pairs = counted.join(two, "b").where(enough).join(one, "a")
+    counted = merged.groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("n_b").alias("n_b")).where(enough)
+    one = sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
+    two = sets.select(F.col("class").alias("b"), F.col("items").alias("items_b"))
+    pairs = counted.join(two, "b").join(one, "a")
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -99,9 +99,9 @@ def matches(text: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def keyword_count(text: Column, words: tuple[str, ...]) -> Column:
-    """Occurrences of each whole word or phrase, summed."""
-    low = F.lower(text)
-    return sum((F.regexp_count(low, F.lit(rf"\b{w}\b")) for w in words[1:]), F.regexp_count(low, F.lit(rf"\b{words[0]}\b")))
+    """Occurrences of whole words and phrases, of which none overlaps another; one pass for the whole list."""
+    longest_first = sorted(words, key=len, reverse=True)
+    return F.regexp_count(F.lower(text), F.lit(rf"\b(?:{'|'.join(longest_first)})\b"))
 
 
 def contained_terms(text: Column, words: tuple[str, ...] = CONTRACT_TERMS) -> Column:

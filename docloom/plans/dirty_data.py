@@ -9,14 +9,15 @@ from docloom.functions.nulls import is_true
 from docloom.operators.orphans import OrphanState, parent_rows, reference_rows
 from docloom.operators.timestamps import estimate_zones, to_instants
 from docloom.plans.data import table
+from docloom.session import spread
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = to_instants(
-        table(spark, d, "search_results"), ["deal_start_date", "contract_start", "contract_end"], "id", "source_tz", "source_locale"
-    ).unionByName(
-        to_instants(table(spark, d, "catalog_files"), ["modified_time"], "salesforce_content_version_id", "source_tz", "source_locale")
-    )
+    declared = ("source_tz", "source_locale")
+    dates = ["deal_start_date", "contract_start", "contract_end"]
+    results = spread(table(spark, d, "search_results").select("id", *dates, *declared))
+    files = spread(table(spark, d, "catalog_files").select("salesforce_content_version_id", "modified_time", *declared))
+    rows = to_instants(results, dates, "id", *declared).unionByName(to_instants(files, ["modified_time"], "salesforce_content_version_id", *declared))
     return rows.distinct()
 
 

@@ -9,17 +9,18 @@ from docloom.functions import text as T
 from docloom.functions.paths import effective_type, path_fields, path_warnings, safe_name
 from docloom.operators import chunking, redaction
 from docloom.plans.data import table
+from docloom.session import spread
 
 
 
 def text_counts(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return docs.select("doc_id", T.word_count(F.col("text")).alias("n_words"), F.length("text").alias("n_chars"), T.line_count(F.col("text")).alias("n_lines"), F.octet_length("text").alias("n_bytes"))
 
 
 def text_entities(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select(
         "doc_id", F.size(T.matches(t, T.AMOUNTS)).alias("n_amounts"), F.size(T.matches(t, T.DATES)).alias("n_dates"), F.size(T.matches(t, (T.EMAIL,))).alias("n_emails"),
         F.size(T.matches(t, (T.PHONE,))).alias("n_phones"), F.array_join(T.contained_terms(t), "|").alias("contract_terms"),
     )
@@ -27,7 +28,7 @@ def text_entities(spark: SparkSession, d: str) -> DataFrame:
 
 def text_depth(spark: SparkSession, d: str) -> DataFrame:
     low = F.lower("text")
-    measured = table(spark, d, "documents").select(
+    measured = spread(table(spark, d, "documents").select("source", "text")).select(
         F.coalesce("source", F.lit("none")).alias("source"), T.word_count(F.col("text")).alias("words"),
         T.keyword_count(F.col("text"), T.PRICING_WORDS).alias("pricing"), T.keyword_count(F.col("text"), T.CONTRACT_WORDS).alias("contract"),
         T.keyword_count(F.col("text"), T.FINANCE_WORDS).alias("finance"), F.regexp_count(low, F.lit(T.DOLLARS)).alias("dollars"),
@@ -40,7 +41,7 @@ def text_depth(spark: SparkSession, d: str) -> DataFrame:
 
 def text_diagnostics(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, d, "parsed_content").where(F.length(t) > 0).select(
+    return spread(table(spark, d, "parsed_content").select("content_id", "text")).where(F.length(t) > 0).select(
         "content_id", F.round(T.repeated_line_ratio(t), 4).alias("repeated_lines"), F.round(T.non_ascii_percent(t), 2).alias("non_ascii_percent"),
         T.broken_hyphens(t).alias("n_broken_hyphens"), T.wide_gaps(t).alias("n_wide_gaps"), T.table_marks(t).alias("n_table_marks"),
     )
@@ -100,7 +101,7 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
 
 def contact_redaction(spark: SparkSession, d: str) -> DataFrame:
     """Contacts replaced in every document, counted by source; flagship query."""
-    done = redaction.redact_contacts(table(spark, d, "documents").select("source", "text"), "text")
+    done = redaction.redact_contacts(spread(table(spark, d, "documents").select("source", "text")), "text")
     totals = [F.sum(f"n_{k}").alias(f"n_{k}") for k in ("email", "phone", "address")]
     left = redaction.failures(F.col("redacted"))
     return done.groupBy(F.coalesce("source", F.lit("none")).alias("source")).agg(F.count("*").alias("n_docs"), *totals, F.count_if(F.size(left) > 0).alias("n_failed"))
@@ -113,13 +114,13 @@ def email_redaction(spark: SparkSession, d: str) -> DataFrame:
 
 def client_redaction(spark: SparkSession, d: str) -> DataFrame:
     registry = table(spark, d, "client_registry").withColumnRenamed("salesforce_client_id", "client_id")
-    docs = table(spark, d, "documents").select("doc_id", F.trim("client_id").alias("client"), "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", F.trim("client_id").alias("client"), "text"))
     done = redaction.redact_clients(docs, "text", "client", registry)
     return done.select("doc_id", "n_client", F.md5("client_redacted").alias("text_md5"))
 
 
 def business_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.chunk_rows(table(spark, d, "parsed_content"), "content_id", "text")
+    return chunking.chunk_rows(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
 
 
 def text_windows(spark: SparkSession, d: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import retrieval
 from docloom.plans.data import table
+from docloom.session import spread
 
 K = 20
 
@@ -46,7 +47,7 @@ def vector_faults(spark: SparkSession, d: str) -> DataFrame:
 
 def term_top(spark: SparkSession, d: str) -> DataFrame:
     """The documents that match each evaluation item best by their words."""
-    docs = retrieval.term_vectors(table(spark, d, "documents"), "doc_id", "text")
+    docs = retrieval.term_vectors(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
     items = retrieval.term_vectors(table(spark, d, "eval_items"), "item_id", "item_text")
     return retrieval.sparse_topk(docs, items, 10)
 

@@ -60,6 +60,16 @@ def salted_left_join(
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores, dealt out over the cores; any wider one as it is.
+
+    For costly work on the rows of a small file. At size a scan has many more partitions than cores, and
+    nothing is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _shipped: set[str] = set()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom.llm import canonical, emails, leaks, neardup, pack, pii, spans, split
 from docloom.llm.sql import ORACLE
 from docloom.plans.data import table
+from docloom.session import spread
 
 
 def _mails(spark: SparkSession, d: str) -> DataFrame:
@@ -23,12 +24,12 @@ def p2_new_bodies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    pairs = neardup.similar_pairs(table(spark, d, "parsed_content"), "content_id", "text")
+    pairs = neardup.similar_pairs(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
     return pairs.select(F.col("id_a").alias("content_id_a"), F.col("id_b").alias("content_id_b"))
 
 
 def p4_groups(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.groups(table(spark, d, "parsed_content"), "content_id", "text")
+    return neardup.groups(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
 
 
 def _pii(spark: SparkSession, d: str, make) -> DataFrame:
@@ -47,7 +48,7 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
 def _names(spark: SparkSession, d: str) -> DataFrame:
     vendors = canonical.entries_of(table(spark, d, "vendor_mapping"), "id", "account_name", "aliases")
     clients = canonical.entries_of(table(spark, d, "client_registry"), "salesforce_client_id", "client_name", "aliases")
-    return canonical.resolved(table(spark, d, "search_results"), "id", {"vendor": vendors, "vendor_name": vendors, "client": clients})
+    return canonical.resolved(spread(table(spark, d, "search_results").select("id", "vendor", "vendor_name", "client")), "id", {"vendor": vendors, "vendor_name": vendors, "client": clients})
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -68,11 +69,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    return pack.packed(table(spark, d, "documents"), "doc_id", "text")
+    return pack.packed(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def p9_spans(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "item_text")
+    return leaks.leaks(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "item_text")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

@@ -65,10 +65,16 @@ def ranked(df: DataFrame, by: list[str], score: str, tie: str, k: int) -> DataFr
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def term_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, weight``: how often each lower-case word of letters and digits occurs (a sparse vector in rows)."""
+def term_vectors(df: DataFrame, key: str, text: str, among: DataFrame | None = None) -> DataFrame:
+    """``key, term, weight``: how often each lower-case word of letters and digits occurs (a sparse vector in rows).
+
+    With ``among``, only its terms are counted; the rest are dropped before anything is shuffled by key.
+    """
     terms = F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)))
-    return df.select(F.col(key).alias("key"), terms.alias("term")).groupBy("key", "term").agg(F.count("*").alias("weight"))
+    rows = df.select(F.col(key).alias("key"), terms.alias("term"))
+    if among is not None:
+        rows = rows.join(among.select("term").distinct(), "term", "left_semi")
+    return rows.groupBy("key", "term").agg(F.count("*").alias("weight"))
 
 
 def sparse_topk(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:

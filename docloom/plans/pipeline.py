@@ -109,7 +109,7 @@ def search(
         total = F.aggregate(products, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
         dense = rows.select(F.lit("q").alias("query_id"), F.col("chunk_id").alias("key"), total.alias("score"))
         asked = retrieval.term_vectors(spark.createDataFrame([("q", text)], "id string, t string"), "id", "t").select(F.col("key").alias("query_id"), "term", F.col("weight").alias("_q"))
-        words = retrieval.term_vectors(rows, "chunk_id", "chunk").join(asked, "term").groupBy("query_id", "key").agg(F.sum(F.col("weight") * F.col("_q")).alias("score"))
+        words = retrieval.term_vectors(rows, "chunk_id", "chunk", asked).join(asked, "term").groupBy("query_id", "key").agg(F.sum(F.col("weight") * F.col("_q")).alias("score"))
         best = words.agg(F.max("score"))
         sparse = words.withColumn("score", F.col("score") / F.lit(best.first()[0] or 1))
         return retrieval.hybrid(dense, sparse, alpha, k)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.nulls import is_missing
-from docloom.session import salted_left_join, scratch_path
+from docloom.session import hot_left_join, scratch_path
 
 PARENT_SCHEMA = "ref_table string, parent_id string, name string, first_seen timestamp, last struct<at:timestamp,seq:bigint,deleted:boolean>"
 REFERENCE_SCHEMA = "ref_table string, id string, ref string, first_ref timestamp"
@@ -107,10 +107,10 @@ class OrphanState:
     def resolved(self) -> DataFrame:
         """Every reference with its state: ``ok``, ``absent``, ``deleted`` or ``late`` (arrived afterwards).
 
-        A hot key is spread over salts, so no task holds all references to one record.
+        A hot key is split at the join, so no task holds all references to one record.
         """
         asked = self.references.where(F.col("ref").isNotNull())
-        found = salted_left_join(asked, spellings(self.parents), ["ref_table", "ref"], F.xxhash64("id"))
+        found = hot_left_join(asked, spellings(self.parents), ["ref_table", "ref"], F.xxhash64("id"))
         state = (
             F.when(F.col("p").isNull(), "absent")
             .when(F.col("p.deleted"), "deleted")

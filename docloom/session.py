@@ -44,20 +44,20 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def salted_left_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread: Column, salts: int = 16
-) -> DataFrame:
-    """Left join that a hot key cannot pull into one task.
+def hot_left_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, salts: int = 16) -> DataFrame:
+    """Left join to a table that is unique on ``keys``, which a hot key cannot pull into one task.
 
-    ``right`` must be unique on ``keys``. Each of its rows is repeated once per salt, and the left rows
-    of one key spread over the salts by ``spread`` (a hash of something other than the key).
+    Adaptive execution splits the partition of a hot key as it finds it, and repeats no more of ``right`` than
+    that partition needs. Where it is switched off, the left rows of a key are dealt over salts by ``by`` (a hash of
+    something other than the key) and each row of ``right`` is repeated for every salt.
     """
+    conf = left.sparkSession.conf
+    adaptive = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    if all(conf.get(name, "true") == "true" for name in adaptive):
+        return left.join(right, keys, "left")
     wide = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (
-        left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-        .join(wide, [*keys, "_salt"], "left")
-        .drop("_salt")
-    )
+    salted = left.withColumn("_salt", F.pmod(by, F.lit(salts)).cast("int"))
+    return salted.join(wide, [*keys, "_salt"], "left").drop("_salt")
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions.nulls import is_true
@@ -88,8 +89,11 @@ def test_feed(spark, tmp_path):
     assert {(x.id, x.ref) for x in feed.state.orphans().collect()} == _brute(parents, refs)
 
 
-def test_hot_key(spark):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_key(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", adaptive)
     key = "a0W" + "h" * 15
     p, r = _frames(spark, [(key, "n", DAY, None, 1)], [(f"r{k}", key, DAY) for k in range(2_000)])
     found = OrphanState.empty(spark).advance(p, r).resolved()
     assert found.where("state = 'ok'").count() == 2_000
+    spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")

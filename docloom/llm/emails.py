@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.session import salted_left_join
+from docloom.session import hot_left_join
 
 # Closing formulas, alone on a line.
 CLOSINGS = (
@@ -119,7 +119,7 @@ def _first_authored(lines: DataFrame) -> DataFrame:
         .select("thread", "pair", F.col("first.id").alias("first_id"))
     )
     long = keyed.select("id", "thread", "line_no", F.explode(F.array("down", "up")).alias("pair")).where("pair is not null")
-    spread = salted_left_join(long, firsts, ["thread", "pair"], F.xxhash64("id"))
+    spread = hot_left_join(long, firsts, ["thread", "pair"], F.xxhash64("id"))
     repeats = spread.where(F.col("first_id") != F.col("id")).select("id", "line_no").distinct()
     return lines.join(repeats, ["id", "line_no"], "left_anti")
 
@@ -128,7 +128,7 @@ def _without_closings(lines: DataFrame) -> DataFrame:
     """Drop last lines that end several mails of their sender."""
     tails = lines.where("tail").select("id", "line_no", "sender", F.lower("text").alias("key"))
     often = tails.groupBy("sender", "key").agg(F.count("*").alias("n")).where(F.col("n") >= CLOSING_MAILS)
-    found = salted_left_join(tails, often, ["sender", "key"], F.xxhash64("id")).where("n is not null").select("id", "line_no")
+    found = hot_left_join(tails, often, ["sender", "key"], F.xxhash64("id")).where("n is not null").select("id", "line_no")
     return lines.join(found, ["id", "line_no"], "left_anti")
 
 

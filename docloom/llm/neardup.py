@@ -179,8 +179,8 @@ def _prepared(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame
     stored = spark.read.parquet(path)
     leads = stored.groupBy("class").agg(F.min("id").alias("lead"), F.countDistinct("id").alias("copies"))
     records = stored.select("id", "class").distinct().join(leads, "class")
-    sets = stored.join(leads.select("class", F.col("lead").alias("id")), ["class", "id"], "left_semi").dropDuplicates(["class", "id"])
-    return records, sets.select("class", "n", "items")
+    # All members of a class have the same set; copies are dropped before the shuffle where they meet.
+    return records, stored.select("class", "n", "items").dropDuplicates(["class"])
 
 
 def class_links(df: DataFrame, key: str, text: str, words: int = WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -32,6 +32,20 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
 
 
+def p4_group_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """Groups of two or more records with their number of records and of different content hashes.
+
+    Hashes count but for case, from the records and from the catalog entries of the same versions.
+    """
+    kept = table(spark, d, "parsed_content").select("content_id", F.col("salesforce_content_version_id").alias("version"), F.lower("content_hash").alias("hash"))
+    grouped = p4_groups(spark, d).join(kept, "content_id")
+    listed = table(spark, d, "catalog_files").select(F.col("salesforce_content_version_id").alias("version"), F.lower("content_hash").alias("listed")).distinct()
+    other = grouped.join(listed, "version").select("group_id", F.lit(None).cast("bigint").alias("content_id"), F.col("listed").alias("hash"))
+    both = grouped.select("group_id", "content_id", "hash").unionByName(other)
+    counts = both.groupBy("group_id").agg(F.countDistinct("content_id").alias("n_records"), F.countDistinct("hash").alias("n_hashes"))
+    return counts.where("n_records > 1")
+
+
 def _pii(spark: SparkSession, d: str, make) -> DataFrame:
     texts = table(spark, d, "redaction_results"), table(spark, d, "search_results")
     return make(texts[0], "redaction_id", ["redacted_text"]).unionByName(make(texts[1], "id", ["customer_comments", "current_narrative"]))
@@ -97,7 +111,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_new_bodies, p4_found, p4_groups, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
+        p2_found, p2_new_bodies, p4_found, p4_groups, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
         p9_found, p9_spans, p9_items, p10_found, p10_shares,
     )
 }

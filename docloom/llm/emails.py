@@ -2,7 +2,8 @@
 
 Bodies are exploded into lines; SQL windows over the lines of one mail find where quoted or forwarded
 mail, the signature and notices begin. Two rules look across mails: a run of lines that an earlier mail
-of the same thread already holds is quoted without a mark, so only its first-authored occurrence stays;
+of the same thread, by another sender, already holds is quoted without a mark, so only its first-authored
+occurrence stays;
 and closing lines that recur at the end of one sender's mails are part of the signature.
 
 Windows are partitioned by mail only, so a partition is never longer than one body. The rules across
@@ -108,19 +109,19 @@ def own_order() -> Window:
 
 
 def _first_authored(lines: DataFrame) -> DataFrame:
-    """Drop runs of two or more lines that an earlier mail of the thread already holds."""
+    """Drop runs of two or more lines that an earlier mail of the thread, by another sender, already holds."""
     pair = lambda a, b: F.when(F.length(a) + F.length(b) >= REPEAT_CHARS, F.xxhash64(a, b))
     keyed = lines.withColumns({"down": pair(F.col("text"), F.col("after")), "up": pair(F.col("before"), F.col("text"))})
     firsts = (
         keyed.where("down is not null and thread is not null")
         .groupBy("thread", F.col("down").alias("pair"))
-        .agg(F.min(F.struct("sent", "id")).alias("first"), F.min("id").alias("a"), F.max("id").alias("b"))
+        .agg(F.min(F.struct("sent", "id", "sender")).alias("first"), F.min("id").alias("a"), F.max("id").alias("b"))
         .where("a <> b")
-        .select("thread", "pair", F.col("first.id").alias("first_id"))
+        .select("thread", "pair", F.col("first.id").alias("first_id"), F.col("first.sender").alias("first_sender"))
     )
-    long = keyed.select("id", "thread", "line_no", F.explode(F.array("down", "up")).alias("pair")).where("pair is not null")
+    long = keyed.select("id", "thread", "sender", "line_no", F.explode(F.array("down", "up")).alias("pair")).where("pair is not null")
     spread = hot_left_join(long, firsts, ["thread", "pair"], F.xxhash64("id"))
-    repeats = spread.where(F.col("first_id") != F.col("id")).select("id", "line_no").distinct()
+    repeats = spread.where((F.col("first_id") != F.col("id")) & ~F.col("first_sender").eqNullSafe(F.col("sender"))).select("id", "line_no").distinct()
     return lines.join(repeats, ["id", "line_no"], "left_anti")
 
 

@@ -37,10 +37,11 @@ _HEAD_FROM = r"(?i)^\*?(?:from|von|de|expéditeur)\s?:\*?\s?\S"
 _HEAD_NEXT = r"(?i)^\*?(?:sent|date|to|subject|gesendet|datum|an|betreff|envoyé|à|objet|enviado|fecha|para|asunto)\s?:\*?\s"
 _DEVICE = r"(?i)^(?:sent from (?:my|a|an|the) |sent via |get outlook for |von unterwegs gesendet|von meinem .{2,20} gesendet|envoyé de(?:puis)? mon |enviado desde )"
 _NOTICE = r"(?i)^(?:caution\s?:|\[external\]|external (?:e-?mail|sender)|\*{3}|confidential(?:ity)?(?: notice)?\s?:|disclaimer\b|this (?:e-?mail|message)(?:,| and| is (?:confidential|intended)| may)|the (?:information|content) (?:in|of) this (?:e-?mail|message)|ce (?:courriel|message) (?:est confidentiel|et )|diese (?:nachricht|e-?mail) (?:ist vertraulich|enthält|und )|este (?:correo|mensaje) (?:es confidencial|y )|registered office\b|think of the (?:forest|environment)|please (?:consider|think of) the environment|if you (?:are not|have received) the (?:intended|this))"
-# Documented bounds: the least length of two neighbouring lines that count as a repeat, and the least
-# number of one sender's mails that end with a line before it counts as a closing line.
+# Documented bounds: the least length of two neighbouring lines that count as a repeat; the least number of
+# one sender's mails that end with a line before it counts as a closing line, and the greatest length of one.
 REPEAT_CHARS = 80
 CLOSING_MAILS = 3
+CLOSING_CHARS = 60
 
 
 def mails(df: DataFrame) -> DataFrame:
@@ -126,8 +127,9 @@ def _first_authored(lines: DataFrame) -> DataFrame:
 
 
 def _without_closings(lines: DataFrame) -> DataFrame:
-    """Drop last lines that end several mails of their sender."""
-    tails = lines.where("tail").select("id", "line_no", "sender", F.lower("text").alias("key"))
+    """Drop last lines that end several mails of their sender: short ones that do not end as a sentence does."""
+    short = F.col("tail") & (F.length("text") <= CLOSING_CHARS) & F.col("text").rlike(r"[\p{L},!]$")
+    tails = lines.where(short).select("id", "line_no", "sender", F.lower("text").alias("key"))
     often = tails.groupBy("sender", "key").agg(F.count("*").alias("n")).where(F.col("n") >= CLOSING_MAILS)
     found = hot_left_join(tails, often, ["sender", "key"], F.xxhash64("id")).where("n is not null").select("id", "line_no")
     return lines.join(found, ["id", "line_no"], "left_anti")

@@ -46,18 +46,25 @@ def required(n: int, similarity: float) -> int:
     return max(1, math.ceil(similarity * n - 1e-9))
 
 
+def _text_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def shingle_sets(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
-    """``id, class, n, items`` of the records that have a shingle; equal sets have the same class."""
+    """``id, class, copy, n, items`` of the records that have a shingle.
+
+    Equal sets have the same class; in a class, equal texts, byte by byte, have the same ``copy``.
+    """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t, words) for t in batch["text"]]
-            out = pd.DataFrame({"id": batch["id"], "class": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets], "n": [len(s) for s in sets], "items": sets})
+            out = pd.DataFrame({"id": batch["id"], "class": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets], "copy": [_text_hash(t) for t in batch["text"]], "n": [len(s) for s in sets], "items": sets})
             yield out[out["n"] > 0]
 
     kind = dict(df.dtypes)[key]
     rows = df.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(each, f"id {kind}, class bigint, n int, items array<bigint>")
+    return rows.mapInPandas(each, f"id {kind}, class bigint, copy bigint, n int, items array<bigint>")
 
 
 def _merge(lists: list[list[int]]) -> Iterator[tuple[int, int]]:
@@ -172,15 +179,24 @@ def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int
     return pairs.select("a", "b", "n_a", "n_b", "items_a", "items_b").mapInPandas(probe, "a bigint, b bigint, overlap bigint, similarity double")
 
 
-def _prepared(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:
-    """The records with class and lead, and the sets of the classes, both from a table in the shared folder."""
+def _stored(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """The sets of the records, from a table in the shared folder."""
     spark = df.sparkSession
     shingle_sets(df, key, text, words).write.parquet(path := scratch_path(spark, "shingle-sets"))
-    stored = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _class_sets(stored: DataFrame) -> DataFrame:
+    # All members of a class have the same set; copies are dropped before the shuffle where they meet.
+    return stored.select("class", "n", "items").dropDuplicates(["class"])
+
+
+def _prepared(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:
+    """The records with class and lead, and the sets of the classes."""
+    stored = _stored(df, key, text, words)
     leads = stored.groupBy("class").agg(F.min("id").alias("lead"), F.countDistinct("id").alias("copies"))
     records = stored.select("id", "class").distinct().join(leads, "class")
-    # All members of a class have the same set; copies are dropped before the shuffle where they meet.
-    return records, stored.select("class", "n", "items").dropDuplicates(["class"])
+    return records, _class_sets(stored)
 
 
 def class_links(df: DataFrame, key: str, text: str, words: int = WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -195,21 +211,47 @@ def class_links(df: DataFrame, key: str, text: str, words: int = WORDS, similari
     return records, links.select("lead_a", "lead_b", "similarity")
 
 
+def _copy_groups(stored: DataFrame) -> DataFrame:
+    """``id, class, lead, copies``: the records of each class in groups of equal texts, with their lowest id.
+
+    An id that has several texts is a group of its own, as no other record stands for all of them.
+    """
+    held = stored.groupBy("id").agg(F.collect_set(F.struct("class", "copy")).alias("texts"))
+    texts = held.select("id", (F.size("texts") > 1).alias("mixed"), F.inline("texts"))
+    sole = texts.where(~F.col("mixed")).select("id", "class", "copy")
+    leads = sole.groupBy("class", "copy").agg(F.min("id").alias("lead"), F.count("*").alias("copies"))
+    alone = texts.where("mixed").select("id", "class", F.col("id").alias("lead"), F.lit(1).cast("bigint").alias("copies")).distinct()
+    return sole.join(leads, ["class", "copy"]).select("id", "class", "lead", "copies").unionByName(alone)
+
+
+def copy_classes(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
+    """``key, class_id, n_copies``: the lowest id with the same text, byte by byte, and the number of such ids.
+
+    With it every pair follows from ``similar_pairs``: where a class has more than ``STAR`` copies, its lead
+    stands for all of them. One row for each record that can be similar to another; an id that has several
+    texts is alone in its class.
+    """
+    groups = _copy_groups(_stored(df, key, text, words)).select("id", "lead", "copies").distinct()
+    return groups.select(F.col("id").alias(key), F.col("lead").alias("class_id"), F.col("copies").alias("n_copies"))
+
+
 def similar_pairs(df: DataFrame, key: str, text: str, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``id_a < id_b``: records that are similar enough, copies included.
 
-    Classes of more than ``STAR`` equal records are given by their lowest id, to which each is linked.
+    More than ``STAR`` records of one text, byte by byte, are given by their lowest id, to which each is linked;
+    ``copy_classes`` tells which they are. Records of different texts are always given pair by pair.
     """
-    records, links = class_links(df, key, text, words, similarity)
-    shown = records.where((F.col("copies") <= STAR) | (F.col("id") == F.col("lead"))).select("lead", "id")
+    stored = _stored(df, key, text, words)
+    groups = _copy_groups(stored)
+    links = similar_classes(_class_sets(stored), similarity)
+    shown = groups.where((F.col("copies") <= STAR) | (F.col("id") == F.col("lead"))).select("class", "id")
     across = (
-        links.join(shown.select(F.col("lead").alias("lead_a"), F.col("id").alias("x")), "lead_a")
-        .join(shown.select(F.col("lead").alias("lead_b"), F.col("id").alias("y")), "lead_b")
+        links.join(shown.select(F.col("class").alias("a"), F.col("id").alias("x")), "a")
+        .join(shown.select(F.col("class").alias("b"), F.col("id").alias("y")), "b")
         .select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     )
-    few = records.where((F.col("copies") > 1) & (F.col("copies") <= STAR))
-    inside = few.select("lead", F.col("id").alias("id_a")).join(few.select("lead", F.col("id").alias("id_b")), "lead").where("id_a < id_b")
-    star = records.where((F.col("copies") > STAR) & (F.col("id") != F.col("lead"))).select(F.col("lead").alias("id_a"), F.col("id").alias("id_b"))
+    inside = shown.select("class", F.col("id").alias("id_a")).join(shown.select("class", F.col("id").alias("id_b")), "class").where("id_a < id_b")
+    star = groups.where((F.col("copies") > STAR) & (F.col("id") != F.col("lead"))).select(F.col("lead").alias("id_a"), F.col("id").alias("id_b"))
     return across.unionByName(inside.select("id_a", "id_b")).unionByName(star).where("id_a <> id_b").distinct()
 
 

@@ -32,6 +32,11 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The class of equal texts of every record; where it is large, its lead stands for it in ``p4_found``."""
+    return neardup.copy_classes(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
+
+
 def p4_group_hashes(spark: SparkSession, d: str) -> DataFrame:
     """Groups of two or more records with their number of records and of different content hashes.
 
@@ -111,7 +116,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_new_bodies, p4_found, p4_groups, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
+        p2_found, p2_new_bodies, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
         p9_found, p9_spans, p9_items, p10_found, p10_shares,
     )
 }

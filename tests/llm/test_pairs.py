@@ -53,6 +53,41 @@ def test_star_of_many_copies(spark, monkeypatch):
     assert neardup.similar_pairs(df.limit(0), "id", "text").count() == 0 and neardup.groups(df.limit(0), "id", "text").count() == 0
 
 
+def rebuilt(found, classes):
+    """All pairs that pairs and classes ``id, class_id, n_copies`` stand for."""
+    lead, members = {k: c for k, c, _ in classes}, {}
+    for k, c, _ in classes:
+        members.setdefault(c, set()).add(k)
+    assert all(len(members[c]) == n for _, c, n in classes)
+    pairs = {(x, y) for a, b in found for x in members[lead[a]] for y in members[lead[b]]} | {(x, y) for m in members.values() for x in m for y in m}
+    return {(min(p), max(p)) for p in pairs if p[0] != p[1]}
+
+
+def test_star_of_copies_only(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "STAR", 3)
+    text = "one two three four five six seven eight nine ten"
+    spelled = [text.upper(), text.title(), text + ".", text.replace(" ", "\n"), text.replace(" ", ", "), text + "!"]
+    rows = [(k, text) for k in range(6)] + list(enumerate(spelled, 10)) + [(20, text + " eleven"), (21, text + " eleven"), (0, text), (30, "a b"), (31, "a b")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    found = {tuple(r) for r in neardup.similar_pairs(df, "id", "text").collect()}
+    classes = [tuple(r) for r in neardup.copy_classes(df, "id", "text").collect()]
+    apart = [0, *range(10, 16), 20, 21]
+    assert found == {(0, k) for k in range(1, 6)} | {(a, b) for a in apart for b in apart if a < b}
+    assert sorted(classes) == [(k, 0, 6) for k in range(6)] + [(k, k, 1) for k in range(10, 16)] + [(20, 20, 2), (21, 20, 2)]
+    assert rebuilt(found, classes) == similar(dict(rows).items())
+
+
+def test_star_of_an_id_with_two_texts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "STAR", 3)
+    one, two = ("one two three four five six seven eight nine ten", "red green blue white black brown pink grey")
+    rows = [(k, one) for k in range(6)] + [(k, two) for k in (0, *range(10, 15))] + [(20, two + " cyan")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    found = {tuple(r) for r in neardup.similar_pairs(df, "id", "text").collect()}
+    classes = [tuple(r) for r in neardup.copy_classes(df, "id", "text").collect()]
+    every = [(a, b) for part in (range(6), (0, *range(10, 15), 20)) for a in part for b in part if a < b]
+    assert rebuilt(found, classes) == set(every)
+
+
 def shared(rows, length):
     held = {}
     for k, t in rows:

@@ -84,10 +84,13 @@ def anchors(texts: list[str], length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     edge = np.full(width - 1, -1, np.int64)
     most = _sliding(np.concatenate([edge, least, edge]), width, np.maximum, -1)
     picked = most == hashes
-    # Of a run of one window, as in a ruled line, the first and the last place tell all.
+    # Of a run of one window, as in a ruled line, the first and the last place are kept, and between them one
+    # at each step that an extension spans: whatever part of the run is shared, the pieces found there meet.
     same = np.zeros(len(hashes), bool)
     same[1:-1] = (hashes[1:-1] == hashes[:-2]) & (hashes[1:-1] == hashes[2:]) & picked[:-2] & picked[2:]
-    at = np.flatnonzero(picked & ~same)
+    places = np.arange(len(hashes))
+    since = places - np.maximum.accumulate(np.where(same, 0, places))
+    at = np.flatnonzero(picked & ~(same & (since % (length - size) > 0)))
     which = np.searchsorted(ends, at, "right")
     return which, at - (ends[which] - sizes[which]), hashes[at]
 
@@ -171,8 +174,13 @@ def _reach(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return left, right
 
 
-def _matches(far: DataFrame, length: int) -> DataFrame:
-    """``lead_a, start_a, lead_b, start_b, size`` of stretches of at least the length (clipped to the extensions)."""
+def _matches(far: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Stretches of at least the length that are shared.
+
+    ``lead_a, start_a, lead_b, start_b, size`` of those compared pair by pair (clipped to the extensions), and
+    ``w, v, lead, start`` of the windows of the full length around crowded anchors, which are not paired here:
+    one window may stand at many places of a text.
+    """
     half = length // 2
     kind = dict(far.dtypes)["lead"]
     out = f"lead_a {kind}, start_a bigint, lead_b {kind}, start_b bigint, size bigint"
@@ -201,12 +209,8 @@ def _matches(far: DataFrame, length: int) -> DataFrame:
         .distinct()
     )
     shared = full.groupBy("w", "v").agg(F.min("lead").alias("a"), F.max("lead").alias("b")).where("a <> b").select("w", "v")
-    kept = full.join(shared, ["w", "v"])
-    both = kept.select("w", "v", F.col("lead").alias("lead_a"), F.col("start").alias("start_a")).join(
-        kept.select("w", "v", F.col("lead").alias("lead_b"), F.col("start").alias("start_b")), ["w", "v"]
-    )
-    crowd = both.where("lead_a < lead_b").select("lead_a", "start_a", "lead_b", "start_b", F.lit(length).cast("bigint").alias("size"))
-    return near.unionByName(crowd)
+    kept = full.join(shared, ["w", "v"]).select("w", "v", "lead", "start")
+    return near, kept
 
 
 def shared_pairs(df: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
@@ -214,7 +218,10 @@ def shared_pairs(df: DataFrame, key: str, text: str, length: int = LENGTH) -> Da
 
     Classes of more than ``STAR`` copies are given by their lowest id, to which each copy is linked.
     """
-    leads = _matches(extended(df, key, text, length), length).select("lead_a", "lead_b").distinct()
+    near, crowded = _matches(extended(df, key, text, length), length)
+    holders = crowded.select("w", "v", "lead").distinct()
+    crowd = holders.withColumnRenamed("lead", "lead_a").join(holders.withColumnRenamed("lead", "lead_b"), ["w", "v"]).where("lead_a < lead_b")
+    leads = near.select("lead_a", "lead_b").unionByName(crowd.select("lead_a", "lead_b")).distinct()
     each = members(df, key, text, length)
     shown = each.where((F.col("copies") <= STAR) | (F.col("id") == F.col("lead"))).select("lead", "id")
     across = (
@@ -243,10 +250,10 @@ def _merged(spans: Column) -> Column:
 
 def shares(df: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
     """``key, n_chars, shared_chars, share, spans``: for every document, the stretches that stand elsewhere too."""
-    found = _matches(extended(df, key, text, length), length)
+    found, crowded = _matches(extended(df, key, text, length), length)
     sides = found.select(F.col("lead_a").alias("lead"), F.col("start_a").alias("start"), (F.col("start_a") + F.col("size")).alias("stop")).unionByName(
         found.select(F.col("lead_b").alias("lead"), F.col("start_b").alias("start"), (F.col("start_b") + F.col("size")).alias("stop"))
-    )
+    ).unionByName(crowded.select("lead", "start", (F.col("start") + length).alias("stop")))
     spans = sides.groupBy("lead").agg(_merged(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     each = members(df, key, text, length).join(spans, "lead", "left").select("id", "copies", "spans")
     sizes = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(F.length(text), F.lit(0)).cast("bigint").alias("n_chars"))

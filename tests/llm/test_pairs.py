@@ -117,3 +117,19 @@ def test_shared_spans(spark, monkeypatch, seed, crowd, batch):
     assert {tuple(r) for r in spans.shared_pairs(df, "id", "text", 40).collect()} == pairs and len(pairs) > 10
     assert {r.id: r.shared_chars for r in spans.shares(df.distinct(), "id", "text", 40).collect()} == cover
     assert spans.shared_pairs(df.limit(0), "id", "text", 40).count() == 0 and spans.shares(df.limit(0), "id", "text", 40).count() == 0
+
+
+@pytest.mark.parametrize("crowd", [64, 5])
+def test_shared_ruled_lines(spark, monkeypatch, crowd):
+    monkeypatch.setattr(spans, "CROWD", crowd)
+    rng = random.Random(7)
+    rand = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    near = rand(150)
+    rows = [(0, rand(90) + "-" * 1_000 + rand(70)), (1, rand(50) + "-" * 1_000 + rand(60)), (2, rand(40) + "=" * 730 + near), (3, "=" * 230 + near), (4, rand(300) + "=" * 150 + rand(50))]
+    rows += [(5, rand(20) + "#" * 930), (6, "#" * 200 + rand(20)), (7, rand(10) + "-" * 640)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    pairs, cover = shared(rows, 200)
+    assert {tuple(r) for r in spans.shared_pairs(df, "id", "text").collect()} == pairs
+    got = {r.id: r for r in spans.shares(df, "id", "text").collect()}
+    assert {k: r.shared_chars for k, r in got.items()} == cover
+    assert [tuple(x) for x in got[0].spans] == [(90, 1_090)] and [tuple(x) for x in got[6].spans] == [(0, 200)]

@@ -81,7 +81,7 @@ def document_keys(spark: SparkSession, d: str) -> DataFrame:
 def stored_text(spark: SparkSession, d: str) -> DataFrame:
     """Texts cut to the bytes that an index takes."""
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", F.md5(T.cut_bytes(F.col("text"), 4_096)).alias("text_md5"))
+    return docs.select("doc_id", F.md5(T.cut_bytes(F.col("text"))).alias("text_md5"))
 
 
 def path_metadata(spark: SparkSession, d: str) -> DataFrame:

@@ -1,4 +1,6 @@
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from docloom.functions.dates import epoch_seconds, year_of
 from docloom.functions.nulls import clean_number, clean_text, money
 from docloom.functions.paths import company_name, path_fields
 from docloom.operators import enrich, filters, quality, redaction, retrieval, tables
+from docloom.plans.texts import stored_text
 
 
 def one(spark, column, **values):
@@ -42,6 +45,14 @@ def test_small_functions(spark):
             assert got == want
 
 
+def test_stored_text_is_cut_where_the_index_cuts(spark, tmp_path):
+    texts = ["a" * 4_097, "é" * 18_944, "é" * 18_945, "x" + "é" * 18_944, "ab" + "😀" * 9_472, "b" * 50_000, "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text_md5 for r in stored_text(spark, str(tmp_path)).collect()}
+    whole = ["a" * 4_097, "é" * 18_944, "é" * 18_944, "x" + "é" * 18_943, "ab" + "😀" * 9_471, "b" * 37_888, "", None]
+    assert got == {k: None if t is None else hashlib.md5(t.encode()).hexdigest() for k, t in enumerate(whole)}
+
+
 def test_path_fields(spark):
     df = spark.createDataFrame([("/Root/2024 Deal Docs/Week1-01012024/Atlan/Zoom_Video/Deal-55317-Atlan/a.pdf",), ("a.pdf",), (None,)], "path string")
     rows = path_fields(df, "path").collect()

@@ -109,6 +109,12 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
 
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The class of equal texts of every document; where it is large, its lead stands for it in ``p10_found``."""
+    each = spans.members(table(spark, d, "documents"), "doc_id", "text")
+    return each.select(F.col("id").alias("doc_id"), F.col("lead").alias("class_id"), F.col("copies").alias("n_copies"))
+
+
 def p10_shares(spark: SparkSession, d: str) -> DataFrame:
     return spans.shares(table(spark, d, "documents"), "doc_id", "text")
 
@@ -117,7 +123,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p2_found, p2_new_bodies, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
-        p9_found, p9_spans, p9_items, p10_found, p10_shares,
+        p9_found, p9_spans, p9_items, p10_found, p10_classes, p10_shares,
     )
 }
 __all__ = ["ORACLE", "QUERIES"]

@@ -216,7 +216,8 @@ def _matches(far: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 def shared_pairs(df: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
     """``id_a < id_b``: documents with at least ``length`` consecutive characters in common.
 
-    Classes of more than ``STAR`` copies are given by their lowest id, to which each copy is linked.
+    Classes of more than ``STAR`` copies are given by their lowest id, to which each copy is linked;
+    ``members`` tells which records these are.
     """
     near, crowded = _matches(extended(df, key, text, length), length)
     holders = crowded.select("w", "v", "lead").distinct()

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from docloom.llm import neardup, spans
+from docloom.llm import neardup, queries, spans
 from docloom.llm.words import words_of
 
 
@@ -119,6 +119,20 @@ def test_shared_spans(spark, monkeypatch, seed, crowd, batch):
     assert spans.shared_pairs(df.limit(0), "id", "text", 40).count() == 0 and spans.shares(df.limit(0), "id", "text", 40).count() == 0
 
 
+def test_star_of_spans(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(spans, "STAR", 3)
+    rng = random.Random(5)
+    rand = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    one, two = rand(420), rand(400)
+    rows = [(k, one) for k in range(3, 9)] + [(1, rand(30) + one[100:330]), (2, two), (12, two), (20, one[:210] + two[:250]), (21, rand(300)), (22, "ab"), (23, "ab"), (24, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {tuple(r) for r in queries.p10_found(spark, str(tmp_path)).collect()}
+    classes = [tuple(r) for r in queries.p10_classes(spark, str(tmp_path)).collect()]
+    want = shared(rows, 200)[0]
+    assert found < want and rebuilt(found, classes) == want
+    assert {c[1:] for c in classes if 3 <= c[0] < 9} == {(3, 6)} and not {22, 23, 24} & {c[0] for c in classes}
+
+
 @pytest.mark.parametrize("crowd", [64, 5])
 def test_shared_ruled_lines(spark, monkeypatch, crowd):
     monkeypatch.setattr(spans, "CROWD", crowd)

@@ -1,12 +1,14 @@
 """Long spans that stand verbatim in more than one document.
 
-Level-wise doubling. At the first level, windows of half the required length are taken at the places that
+One doubling step. At its start, windows of half the required length are taken at the places that
 winnowing picks: among the windows of any stretch of the required length, the one with the least hash. So
 two documents that share such a stretch pick the same window in it. Windows that occur in one text alone
 are dropped; the survivors alone are extended, up to as much again to both sides, which is all that the
-next length needs, and compared exactly. A window whose extension is shared nowhere dies there.
+required length needs, and compared exactly. A window whose extension is shared nowhere dies there. There
+are no levels beyond: a pair needs the required length alone, and longer stretches are the union of the
+pieces found at their windows.
 
-Copies of a whole text are one class, known by a hash of the text, so they add no work at any level.
+Copies of a whole text are one class, known by a hash of the text, so they add no work.
 A window that stands in more than ``CROWD`` texts is not paired: its extensions are cut into every window of
 the full length, and only those that are still shared are paired, so no pairs are made in vain.
 

@@ -228,7 +228,7 @@ class Resolver:
         # A name cut short: the only entry that begins so, with more than the stem given.
         at = bisect_left(self.order, joined)
         begun = []
-        while at < len(self.order) and self.order[at].startswith(joined) and len(begun) < 3:
+        while at < len(self.order) and self.order[at].startswith(joined):
             begun.append(self.order[at])
             at += 1
         if len(words) > 1 and begun and len(joined) >= 6:
@@ -239,9 +239,11 @@ class Resolver:
             for reach in (0, self.radius(joined)):
                 if (got := self._nearest(self.stem_trees, self.stems, joined, form, reach)) is not None:
                     return got
-        for key in list(turned) if radius == 2 else ():
-            if (got := self._nearest(self.trees, self.names, key, form, 4, 2)) is not None:
+        for key in list(turned) if radius else ():
+            if (got := self._nearest(self.trees, self.names, key, form, 2 * radius, radius)) is not None:
                 return got
+        if len(words) == 1 and radius and (got := self._nearest(self.stem_trees, self.stems, joined, form, 2 * radius, radius)) is not None:
+            return got
         return ""
 
 

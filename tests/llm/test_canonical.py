@@ -63,3 +63,13 @@ def test_rows(spark):
     got = sorted((r.field, r.id or "", r.account_id) for r in resolved(df, "id", {"field": entries, "account_id": []}).collect())
     assert got == [("account_id", "", ""), ("field", "r", "1"), ("field", "r", "1")]
     assert resolved(df.limit(0), "id", {"field": entries}).count() == 0
+
+
+def test_swaps_in_short_names_and_stems():
+    made = Resolver([("1", "Marlow", None), ("2", "Zentrix Systems Corp", None)])
+    assert [made.resolve(v) for v in ("Malrow", "Zenrtix", "Mlraow")] == ["1", "2", ""]
+
+
+def test_beginning_of_many_names():
+    made = Resolver([(str(k), f"Northern Light {w} {f}", None) for k, (w, f) in enumerate([("Alpha", "Inc"), ("Beta", "Inc"), ("Gamma", "Inc"), ("Zeta", "GmbH")])])
+    assert [made.resolve(v) for v in ("Northern Light GmbH", "Northern Light Inc", "Northern Light")] == ["3", "", ""]

@@ -34,14 +34,39 @@ REFERENCES = {
 }
 
 
-def orphan_state(spark: SparkSession, d: str) -> OrphanState:
+#: Periods that the tables are brought in by.
+BATCHES = 3
+
+
+def orphan_state(spark: SparkSession, d: str, batches: int = BATCHES) -> OrphanState:
+    """The orphan state after batches in order of time, as a feed would bring them: each a period of ``indexed_at``.
+
+    A period is bounded by times, so its rows are filtered in the scans; rows without a time come first.
+    """
     gone = is_true(F.col("is_deleted"))
-    parents = (
-        parent_rows(table(spark, d, "deals"), "deals", "id", "exported_at", gone, F.col("load_seq"), "name")
-        .unionByName(parent_rows(table(spark, d, "client_registry"), "clients", "salesforce_client_id", "arrived_at", gone))
-        .unionByName(parent_rows(table(spark, d, "vendor_mapping"), "vendors", "id", "arrived_at", gone))
-    )
-    return OrphanState.empty(spark).advance(parents, reference_rows(table(spark, d, "search_results"), "id", "indexed_at", REFERENCES))
+    results = table(spark, d, "search_results")
+    ends = results.agg(F.min("indexed_at").cast("double").alias("a"), F.max("indexed_at").cast("double").alias("b")).first()
+    first, last = ends["a"] or 0.0, ends["b"] or 0.0
+    limits = [first + (last - first) * k / batches for k in range(1, batches)]
+
+    def period(df: DataFrame, at: str, k: int) -> DataFrame:
+        low, high = (F.lit(x).cast("timestamp") for x in (limits[max(0, k - 1)] if limits else 0, limits[min(k, batches - 2)] if limits else 0))
+        if batches == 1:
+            return df
+        if k == 0:
+            return df.where((F.col(at) < high) | F.col(at).isNull())
+        return df.where(F.col(at) >= low) if k == batches - 1 else df.where((F.col(at) >= low) & (F.col(at) < high))
+
+    deals, clients, vendors = (table(spark, d, name) for name in ("deals", "client_registry", "vendor_mapping"))
+    state = OrphanState.empty(spark)
+    for k in range(batches):
+        parents = (
+            parent_rows(period(deals, "exported_at", k), "deals", "id", "exported_at", gone, F.col("load_seq"), "name")
+            .unionByName(parent_rows(period(clients, "arrived_at", k), "clients", "salesforce_client_id", "arrived_at", gone))
+            .unionByName(parent_rows(period(vendors, "arrived_at", k), "vendors", "id", "arrived_at", gone))
+        )
+        state = state.advance(parents, reference_rows(period(results, "indexed_at", k), "id", "indexed_at", REFERENCES))
+    return state
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -5,26 +5,36 @@ from __future__ import annotations
 import atexit
 import os
 import pathlib
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share.
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    It is the session's ``spark.checkpoint.dir``; only where that is unset (tests, local runs) a
-    temporary folder is made and entered there.
+    Only on a local master, where driver and executors are one process, may it be unset: a temporary folder
+    stands in for it then. On a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if found:
+        return found
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own_dirs:
+        folder = tempfile.mkdtemp(prefix="docloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_dirs[context.applicationId] = "file://" + folder
+    return _own_dirs[context.applicationId]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -40,6 +50,50 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system; none where it is missing."""
+    at, system = _hadoop(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(at)) if system.exists(at) else []
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file, written at once: it tells that something is complete."""
+    at, system = _hadoop(spark, path)
+    system.create(at, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, system = _hadoop(spark, path)
+    system.delete(at, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    at, system = _hadoop(spark, path)
+    if not system.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} cannot be renamed to {to}")
+
+
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Rows with their place in order, from 0, in column ``name``.
+
+    The sorted rows are written once; a row's place is its place in its partition plus the rows of the partitions
+    before, of which there is one count each. No task sees all rows.
+    """
+    sorted_rows = df.sort(order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
+    sorted_rows.write.parquet(path := scratch_path(df.sparkSession, "sorted"))
+    placed = df.sparkSession.read.parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
+    at = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_base")
+    return placed.join(counts, "_part").select(*df.columns, at.alias(name))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.paths import extension
+from docloom.session import numbered
 
 # Extensions of documents that are taken.
 SUPPORTED = (".pdf", ".docx", ".doc", ".xlsx", ".xls", ".csv", ".pptx", ".ppt", ".msg", ".txt", ".md", ".png", ".jpg", ".jpeg")
@@ -34,9 +35,8 @@ class FileSource(ABC):
 
     def batches(self, size: int) -> DataFrame:
         """The listing with ``batch_no``, each batch of ``size`` files in order of path."""
-        listed = self.list_documents()
-        numbered = listed.sort("path").rdd.zipWithIndex().map(lambda x: (*x[0], int(x[1] // size)))
-        return listed.sparkSession.createDataFrame(numbered, listed.schema.add("batch_no", "long"))
+        rows = numbered(self.list_documents(), "path", "_row")
+        return rows.withColumn("batch_no", F.floor(F.col("_row") / size)).drop("_row")
 
 
 class FolderSource(FileSource):

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.operators.orphans import PARENT_SCHEMA, REFERENCE_SCHEMA, OrphanState
-from docloom.session import scratch_path, shared_dir
+from docloom.operators.orphans import OrphanState
+from docloom.session import numbered, shared_dir
 
 
 def discover(spark: SparkSession, incoming: str, schema: str, out: str, checkpoint: str, kind: str = "json", per_trigger: int = 1_000) -> StreamingQuery:
@@ -30,31 +30,28 @@ def pending(documents: DataFrame, status: DataFrame, key: str, done: Column) ->
 
 def batched(df: DataFrame, order: str, size: int) -> DataFrame:
     """``batch_no`` from 1 in order; offsets come from per-partition counts, so no task sees all rows."""
-    rows = df.sort(order).rdd.zipWithIndex().map(lambda x: (*x[0], int(x[1] // size) + 1))
-    return df.sparkSession.createDataFrame(rows, df.schema.add("batch_no", "long"))
+    rows = numbered(df, order, "_row")
+    return rows.withColumn("batch_no", F.floor(F.col("_row") / size) + 1).drop("_row")
 
 
 class OrphanFeed:
     """Orphan references over a stream of events.
 
-    An event row holds either a parent (``kind = 'parent'``) or a reference (``kind = 'reference'``) in the columns
-    of both forms. Each micro-batch is folded into the state, which is written to the shared folder under the
-    batch's number, so a batch that is run again gives the same state.
+    An event row holds either a parent (``kind = 'parent'``) or a reference (``kind = 'reference'``: ``id``, ``ref_table``,
+    ``ref``, ``first_ref``). Each micro-batch is folded into the state under its number. State and progress lie in one
+    folder of the feed's own, so a feed that is made anew with the same name goes on where the last one stopped, and a
+    batch that is run again is not folded twice. Two feeds need two names.
     """
 
-    def __init__(self, spark: SparkSession, name: str = "orphan-feed") -> None:
-        self.spark, self.root = spark, scratch_path(spark, name)
-        self.state = OrphanState.empty(spark)
+    def __init__(self, spark: SparkSession, name: str = "orphan-feed", root: str | None = None) -> None:
+        self.spark, self.root = spark, root or f"{shared_dir(spark)}/{name}"
+        self.state = OrphanState.open(spark, f"{self.root}/state")
 
     def fold(self, batch: DataFrame, number: int) -> None:
-        parents = batch.where("kind = 'parent'").select(*[c.split(" ")[0] for c in PARENT_SCHEMA.replace("struct<at:timestamp,seq:bigint,deleted:boolean>", "x").split(", ")])
-        references = batch.where("kind = 'reference'").select(*[c.split(" ")[0] for c in REFERENCE_SCHEMA.split(", ")])
-        state = self.state.advance(parents, references)
-        for part, df in (("parents", state.parents), ("references", state.references)):
-            df.write.mode("overwrite").parquet(f"{self.root}/{number}/{part}")
-        read = self.spark.read.parquet
-        self.state = OrphanState(read(f"{self.root}/{number}/parents"), read(f"{self.root}/{number}/references"))
-
-    def run(self, events: DataFrame, checkpoint: str | None = None) -> StreamingQuery:
-        where = checkpoint or f"{shared_dir(self.spark)}/orphan-feed-progress"
-        return events.writeStream.foreachBatch(self.fold).option("checkpointLocation", where).trigger(availableNow=True).start()
+        parents = batch.where("kind = 'parent'").select("ref_table", "parent_id", "name", "first_seen", "last")
+        refs = F.filter(F.array(F.struct("ref_table", "ref")), lambda x: x["ref"].isNotNull())
+        references = batch.where("kind = 'reference'").select("id", "first_ref", refs.alias("refs"))
+        self.state = self.state.advance(parents, references, number)
+
+    def run(self, events: DataFrame) -> StreamingQuery:
+        return events.writeStream.foreachBatch(self.fold).option("checkpointLocation", f"{self.root}/progress").trigger(availableNow=True).start()

@@ -59,34 +59,63 @@ def test_against_brute_force_and_any_order_of_batches(spark):
     state = OrphanState.empty(spark)
     for k in reversed(range(3)):
         pk, rk = _frames(spark, parents[k::3], refs[k::3])
-        state = state.advance(references=rk).advance(parents=pk, keep=True)
+        state = state.advance(references=rk).advance(parents=pk)
     assert {(x.id, x.ref) for x in state.orphans().collect()} == want
-    assert sum(x.n_refs for x in state.snapshot().collect()) == state.references.where("ref is not null").count()
+    assert {tuple(x) for x in state.resolved().collect()} == {tuple(x) for x in once.resolved().collect()}
+    assert {tuple(x) for x in state.pending().collect()} == {tuple(x) for x in state.resolved().where("state in ('absent', 'deleted')").collect()}
+    assert {tuple(x) for x in state.snapshot().collect()} == {tuple(x) for x in once.snapshot().collect()}
+    small = state.compacted()
+    assert {tuple(x) for x in small.resolved().collect()} == {tuple(x) for x in once.resolved().collect()}
+    gone, _ = _frames(spark, [(k, n, at + dt.timedelta(days=99), "yes", 999) for k, n, at, _, _ in parents], [])
+    assert not small.advance(gone).resolved().where("state = 'ok'").count()
 
 
 def test_arrival_resolves_and_deletion_reopens(spark):
     key = "a0W" + "x" * 15
     _, refs = _frames(spark, [(key, "n", DAY, None, 1)], [("r", key, DAY)])
     one, _ = _frames(spark, [(key, "n", DAY, "no", 1)], [("r", key, DAY)])
-    gone, _ = _frames(spark, [(key, "n", DAY + dt.timedelta(days=1), "1", 2)], [("r", key, DAY)])
+    gone, earlier = _frames(spark, [(key, "n", DAY + dt.timedelta(days=1), "1", 2)], [("r", None, DAY - dt.timedelta(days=1))])
     state = OrphanState.empty(spark).advance(references=refs)
     assert [x.state for x in state.resolved().collect()] == ["absent"]
     state = state.advance(one)
-    assert [x.state for x in state.resolved().collect()] == ["ok"]
-    assert [x.state for x in state.advance(gone).resolved().collect()] == ["deleted"]
+    assert [x.state for x in state.resolved().collect()] == ["ok"] and not state.pending().count()
+    late = state.advance(references=earlier)
+    assert [x.state for x in late.resolved().collect()] == ["late"]
+    state = late.advance(gone)
+    assert [x.state for x in state.resolved().collect()] == ["deleted"] and state.pending().count() == 1
+    assert state.advance(one, number=3) is state
     assert OrphanState.empty(spark).orphans().count() == 0
+    assert OrphanState.empty(spark).advance().orphans().count() == 0
 
 
-def test_feed(spark, tmp_path):
-    parents, refs = _rows(5, 20)
+def test_a_shared_spelling_is_good_if_one_record_is(spark):
+    a, b = "a0W" + "s" * 12 + "AAA", "a0W" + "s" * 12 + "BBB"
+    one, refs = _frames(spark, [(a, "n1", DAY, "true", 1)], [("r", a[:15], DAY), (None, a[:15], DAY)])
+    two, _ = _frames(spark, [(b, "n2", DAY, None, 1)], [])
+    state = OrphanState.empty(spark).advance(one, refs)
+    assert [x.state for x in state.resolved().collect()] == ["deleted", "deleted"]
+    assert [(x.state, x.parent_id) for x in state.advance(two).resolved().collect()] == [("ok", b), ("ok", b)]
+
+
+FORM = "kind string, ref_table string, parent_id string, name string, first_seen timestamp, last struct<at:timestamp,seq:bigint,deleted:boolean>, id string, ref string, first_ref timestamp"
+
+
+def _events(spark, parents, refs):
     p, r = _frames(spark, parents, refs)
-    form = "kind string, ref_table string, parent_id string, name string, first_seen timestamp, last struct<at:timestamp,seq:bigint,deleted:boolean>, id string, ref string, first_ref timestamp"
-    events = p.withColumn("kind", F.lit("parent")).unionByName(r.withColumn("kind", F.lit("reference")), allowMissingColumns=True)
-    events.repartition(3).write.json(str(tmp_path / "in"))
-    stream = spark.readStream.schema(form).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-    feed = OrphanFeed(spark)
-    feed.run(stream, str(tmp_path / "progress")).awaitTermination()
+    flat = r.select("id", "first_ref", F.explode_outer("refs").alias("x")).select("id", "first_ref", "x.ref_table", "x.ref")
+    return p.withColumn("kind", F.lit("parent")).unionByName(flat.withColumn("kind", F.lit("reference")), allowMissingColumns=True)
+
+
+def test_feed_goes_on_after_a_restart(spark, tmp_path):
+    parents, refs = _rows(5, 20)
+    stream = lambda: spark.readStream.schema(FORM).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    for k in range(2):
+        _events(spark, parents[k::2], refs[k::2]).repartition(2).write.mode("append").json(str(tmp_path / "in"))
+        feed = OrphanFeed(spark, root=str(tmp_path / "feed"))
+        feed.run(stream()).awaitTermination()
+    assert len(feed.state.batches) == 4
     assert {(x.id, x.ref) for x in feed.state.orphans().collect()} == _brute(parents, refs)
+    assert OrphanFeed(spark, "other").state.batches == ()
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])

@@ -142,3 +142,12 @@ def test_command_line(spark, tmp_path, strategy):
     (tmp_path / "q.txt").write_text("contract end\nlicence price\n")
     row = go("compare", "--left", tmp_path / "ix", "--right", tmp_path / "ix", "--queries", tmp_path / "q.txt", "--output", tmp_path / "cmp").first()
     assert (row.n_queries, row.mean_jaccard) == (2, 1.0)
+
+
+def test_numbered_rows(spark):
+    from docloom.session import numbered
+    from docloom.streaming.feeds import batched
+
+    rows = spark.range(1_000).repartition(7).select((F.col("id") * 3).alias("k"))
+    assert sorted((x.k, x.at) for x in numbered(rows, "k", "at").collect()) == [(3 * i, i) for i in range(1_000)]
+    assert {(x.batch_no, x["count"]) for x in batched(rows, "k", 300).groupBy("batch_no").count().collect()} == {(1, 300), (2, 300), (3, 300), (4, 100)}

@@ -1,11 +1,17 @@
 """Personal data in free text: found by anchor expansion, replaced by typed placeholders.
 
 One Aho-Corasick pass over a text finds anchors: at-signs and their spellings, schemes, identifier cues,
-street words, titles, given names and phrases beside names. Each anchor is handed to a small
+street words, titles, given names, and words that stand before or after persons. Each anchor is handed to a small
 deterministic parser that expands it to its boundaries and validates it. Runs of digits are anchors of
 telephone numbers. Where candidates overlap, the kind decides (email, national_id, address, phone, name),
 then the longer one.
 
+A name is known by its shape (given name or initial and surname, or surname, comma and given name) and by what stands
+beside it: a title, a word that goes with persons (spoke with, attention, signed by; asked, signed, left), or an email
+address, telephone or identity number. Its surname must be no common word, by a public tokenizer's vocabulary,
+and none of its words may be one of a company. Given names that are known make names without any cue: a public
+list of frequent ones, and those that ``known_names`` learns from columns that hold names.
+
 Defined results: null and empty texts hold nothing and stay as they are; placeholders that already stand
 in a text are left alone; repeated rows give repeated results (queries take them once).
 """
@@ -25,21 +31,42 @@ from pyspark.sql import functions as F
 KINDS = ("email", "national_id", "address", "phone", "name")
 PLACEHOLDERS = {"email": "<<EMAIL>>", "phone": "<<PHONE>>", "national_id": "<<NATIONAL_ID>>", "address": "<<ADDRESS>>", "name": "<<PERSON>>"}
 
-# Given names that mark a person's name (lower case).
+# Frequent given names of several languages (lower case).
 GIVEN = (
-    "amir ana ann anna beate boris bram carla celia colm dario diana dunja edda elena emeka emma felix freya goran greta hamid hana hanna hugo ines "
-    "ingrid irina ivo jonas joyce kavya kofi lars laura lena luisa lukas marco maria marta mateo milo mina nadia niels nina nora olga omar oona "
-    "otto pavel petra priya quentin rafael rosa ruth sanna sara sofia stefan tara tomas ugo ulla ulrike vera viktor wanda wen ximena yara yusuf "
-    "zeno zora james john robert michael william david richard thomas mary patricia jennifer linda elizabeth susan jessica sarah karen nancy lisa "
-    "paul mark george daniel kevin peter andrew laura julia claire pierre jean luc marie sophie hans klaus jürgen monika sabine jose juan carlos pablo lucia"
+    "james john robert michael william david richard joseph thomas charles christopher daniel matthew anthony mark steven paul andrew joshua kenneth "
+    "kevin brian george edward ronald timothy jason jeffrey ryan jacob gary nicholas eric jonathan stephen larry justin scott brandon benjamin samuel "
+    "mary patricia ann jennifer linda elizabeth barbara susan jessica sarah karen nancy lisa margaret betty sandra ashley emily donna michelle carol amanda "
+    "melissa deborah stephanie rebecca sharon laura cynthia kathleen amy angela anna emma olivia sophia julia alice claire hannah lucy ruth "
+    "hans klaus jürgen wolfgang dieter stefan andreas christian martin peter michaela monika sabine petra susanne heike ursula ingrid helga "
+    "jean pierre michel philippe alain nicolas marie nathalie isabelle sylvie catherine sophie luc camille "
+    "josé juan carlos luis javier miguel pablo diego maría carmen ana isabel lucía marta elena rosa sofía "
+    "marco giovanni francesco luca giulia chiara lars erik nils ingmar astrid freja ivan sergei dmitri olga natalia svetlana irina "
+    "mohammed ahmed ali omar hassan fatima aisha leila priya rahul anil sunita deepa wei ming li hiroshi yuki kenji mei"
 ).split()
-# Titles before a surname, and words that stand directly before or after a person's name.
+# Titles before a surname, words that go before a person, and words that go after one.
 TITLES = ("mr", "mrs", "ms", "miss", "dr", "prof", "frau", "herr", "herrn", "mme", "mlle", "m.", "monsieur", "madame", "sr", "sra", "srta", "señor", "señora", "sir")
 BEFORE = (
-    "spoke with", "spoken with", "speak to", "speak with", "attention", "attn:", "attn", "signed:", "signed by", "contact:", "the buyer,", "atención de",
-    "visitor pass for", "agreed between", "c/o", "formerly", "regards,", "reach out to", "met with", "per", "between", "zu händen", "à l'attention de",
+    "with", "attention", "attention of", "attn", "attn:", "attention:", "att:", "contact", "contact:", "contacts:", "contacted", "signed", "signed:", "signed by", "signature:", "by",
+    "ask", "asked", "asking", "tell", "told", "call", "called", "phone", "phoned", "email", "emailed", "reach", "to", "from", "for", "met", "meet", "know", "knows", "per", "via", "between",
+    "dear", "hi", "hello", "hallo", "hola", "bonjour", "c/o", "formerly", "previously", "once", "regards,", "sincerely,", "cheers,", "name:", "name is", "named", "behalf of", "herrn und frau",
+    "buyer,", "seller,", "manager,", "director,", "lead,", "engineer,", "officer,", "owner,", "counsel,", "specialist,", "assistant,", "colleague,", "customer,", "client,", "employee,", "person:",
+    "zu händen", "z. hd.", "mit", "von", "an", "laut", "à l'attention de", "avec", "selon", "chez", "atención de", "con", "según", "por", "de parte de",
+)
+#: Of the words before, those that also announce a name in lower case.
+ANNOUNCE = frozenset(
+    "attention attn attn: attention: att: contact: contacts: signed: signature: dear c/o formerly previously name: named person: between with per buyer, seller, manager, director, owner, counsel,".split()
+) | {"signed by", "attention of", "zu händen", "à l'attention de", "atención de", "behalf of"}
+AFTER = (
+    "asked", "asks", "said", "says", "wrote", "writes", "signed", "signs", "called", "calls", "confirmed", "confirms", "agreed", "agrees", "approved", "approves", "told", "left", "leaves", "joined",
+    "joins", "replied", "replies", "requested", "requests", "needs", "wants", "holds", "held", "has", "will", "can", "is", "was", "promised", "insists", "thinks", "explained", "mentioned", "noted", "offered", "from the", "from our",
+    "from their", "'s", "’s", "schrieb", "bat", "sagte", "a écrit", "a demandé", "escribió", "pidió",
 )
-AFTER = ("from the vendor side", "signed as guarantor", "holds the only copy", "left; mail now", "'s note", "’s note", "can be reached at")
+# Words of companies, and of places and things that are called like persons.
+COMPANY = frozenset(
+    "inc ltd llc corp gmbh ag sa se bv nv plc co company corporation limited group holding holdings partners solutions systems services networks software technologies technology labs media energy "
+    "logistics industries bank capital consulting health foods robotics payments platforms analytics insurance international global associates ventures works motors airlines pharma telecom "
+    "ridge harbour harbor hub centre center campus park gate bay bridge street road avenue lane court square office desk team department suite edition module bundle plan".split()
+)
 # Cues of identity numbers.
 ID_CUES = (
     "ssn", "social security", "social:", "identity number", "identity no", "identity card", "id card", "id no", "national id", "tax id", "tax number",
@@ -76,20 +103,37 @@ _NAME_FORMS = (
 _NAME = re.compile("|".join(_NAME_FORMS))
 _TITLED = re.compile(rf"(?:(?:[Mm]rs?|MRS?|[Mm]s|MS|[Mm]iss|[DdPp]r(?:of)?|DR|Frau|Herrn?|Mme|Mlle|M|Monsieur|Madame|Sra?|Srta|Señora?|Sir)\.? )+")
 _LOWER_NAME = re.compile(rf"[{_LOW}]+ (?:[{_LOW}]\. )?[{_LOW}]{{3,}}")
-_GIVEN = frozenset(GIVEN)
 _NOT_NAME = frozenset(
     "The A An In On At For Of And Or If No Not Per Under Given Separately According During Section Invoice Reference Delivery Support Switching Savings Unless With Our Two "
     "January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
-    "Street Avenue Road Court Lane Box Reach Contact Signed".split()
+    "Street Avenue Road Court Lane Box Reach Contact Signed Dear Please Hello Hi Regards Attention".split()
 )
+Names = frozenset[str]
 
 
 @cache
-def _automaton() -> ahocorasick.Automaton:
+def _common() -> frozenset[str]:
+    """Common words: those that a public tokenizer's vocabularies hold whole, in lower case, after a blank."""
+    import base64
+
+    import public_tokenizers
+
+    words = set()
+    for name, least in (("byte_bpe_50k.tiktoken", 3), ("byte_bpe_multi_50k.tiktoken", 4)):
+        with open(public_tokenizers.path(name), "rb") as f:
+            for line in f:
+                token = base64.b64decode(line.split()[0]).decode("utf-8", "ignore")
+                if token[:1] == " " and len(token) > least and token[1:].isalpha() and token[1:].islower():
+                    words.add(token[1:])
+    return frozenset(words)
+
+
+@cache
+def _automaton(given: Names) -> ahocorasick.Automaton:
     found: dict[str, str] = {}
     for words, kind in (
         (("@", "(at)", "[at]", "{at}", "mailto:"), "email"), (ID_CUES, "id"), (("p.o. box", "po box", "p. o. box", "post office box", "postfach", "apartado", "boîte postale"), "box"),
-        (STREETS, "street"), (STREETS_BEFORE, "rue"), (STREETS_ES, "calle"), (STREETS_DE, "strasse"), (GIVEN, "given"), (TITLES, "title"), (BEFORE, "before"), (AFTER, "after"),
+        (STREETS, "street"), (STREETS_BEFORE, "rue"), (STREETS_ES, "calle"), (STREETS_DE, "strasse"), (given, "given"), (TITLES, "title"), (BEFORE, "before"), (AFTER, "after"),
     ):
         for word in words:
             found[word] = f"{found[word]} {kind}" if word in found else kind
@@ -196,42 +240,92 @@ def _phone(text: str, begin: int, end: int) -> tuple[int, int] | None:
     return found.span()
 
 
-def _person(text: str, at: int, sure: bool) -> tuple[int, int] | None:
-    """A name that starts at ``at``; ``sure`` where a cue stands before it."""
+def _bears(words: list[str], given: Names, comma: bool) -> bool:
+    """Whether words can be a person's: no word of a company, a surname that is no common word, a given name before it.
+
+    With ``comma`` the surname stands first. A given name need not be a known one, but then it too is no common word.
+    """
+    low = [w.lower() for w in words]
+    if comma:
+        low = [*low[1:], low[0]]
+    while len(low) > 2 and len(low[-2]) == 1:  # initials between
+        low.pop(-2)
+    if any(w in COMPANY for w in low) or any(w.capitalize() in _NOT_NAME and w not in given for w in low if len(w) > 1):
+        return False
+    first, last = low[0], low[-1]
+    if len(last) < 3:
+        return False
+    strange = last not in _common()
+    return strange and (len(first) == 1 or first in given or first not in _common()) or (first in given and len(first) > 2 and not words[0].islower())
+
+
+def _person(text: str, at: int, given: Names, announced: bool = False) -> tuple[int, int] | None:
+    """A name that starts at ``at``, after a title or another cue; ``announced`` where it may be in lower case."""
     titled = _TITLED.match(text, at)
     if titled:
-        at, sure = titled.end(), True
+        at = titled.end()
     found = _NAME.match(text, at)
     if not found:
         lower = _LOWER_NAME.match(text, at)
-        return lower.span() if sure and lower and lower[0].split()[0] in _GIVEN else None
+        words = lower[0].replace(".", "").split() if lower else [""]
+        return lower.span() if announced and words[0] in given and _bears(words, given, False) else None
     words = re.findall(r"[^\W\d_]+", found[0])
-    given = any(w.lower() in _GIVEN for w in words)
-    if len(words[0]) > 1 and words[0].capitalize() in _NOT_NAME and not titled:
-        return None
     if found["a"]:
-        if words[-1 if len(words[-1]) > 1 else -2].lower() in _GIVEN:
+        if _bears(re.findall(r"[^\W\d_]+", re.sub(r" .\.$", "", found[0])), given, True):
             return found.span()
-        found = re.compile(_NAME_FORMS[2]).match(text, at)
-        return found.span() if titled else None
+        # A surname alone before a comma, or a full name before one: the part before it.
+        before = re.match(rf"{_WORD}", text[at : found.end()])
+        return (at, at + before.end()) if titled else None
     if found["b"]:
-        if given or titled or (sure and re.match(rf"[{_UP}]\. ", found[0])):
-            return found.span()
+        good = not any(w.lower() in COMPANY for w in words) if titled else _bears(words, given, False)
+        return found.span() if good else None
+    return found.span() if titled and words[0].capitalize() not in _NOT_NAME else None
+
+
+_BACK = re.compile(
+    rf"(?:(?P<b>{_WORD}, {_WORD}(?: [{_UP}]\.)?)|(?P<f>(?:{_WORD}|[{_UP}]\.) (?:[{_UP}]\. |(?:van|von|de|der|den|la|del|di|bin|al) )*{_WORD})|(?P<l>[{_LOW}]+ (?:[{_LOW}]\. )?[{_LOW}]+))"
+    r"(?: \([^()\n]*(?:\([^()\n]*\)[^()\n]*)*\))?,? ?$"
+)
+_HELD_NAME = re.compile(r"\((?:formerly |previously |now |once )?(?P<n>[^()\n\d@]{3,40})\)\s?$")
+
+
+def _before(text: str, end: int, given: Names) -> tuple[int, int] | None:
+    """A name that ends at ``end``, but for a bracket behind it."""
+    start = max(0, end - 90)
+    part = text[start:end]
+    if held := _HELD_NAME.search(part):
+        return _person(text, start + held.start("n"), given, True)
+    back = _BACK.search(part)
+    if not back:
+        return None
+    kind = back.lastgroup
+    at, stop = start + back.start(kind), start + back.end(kind)
+    if at and (text[at - 1].isalnum() or text[at - 1] in "-'’"):
         return None
-    return found.span() if titled else None
+    words = re.findall(r"[^\W\d_]+", re.sub(r" .\.$", "", text[at:stop]) if kind == "b" else text[at:stop])
+    titled = _TITLED.match(text, at)
+    if titled and titled.end() < stop:
+        return _person(text, at, given)
+    if kind == "l" and words[0] not in given:
+        return None
+    return (at, stop) if _bears(words, given, kind == "b") else None
 
 
-_BACK = re.compile(rf"(?:{_WORD}, {_WORD}(?: [{_UP}]\.)?|(?:(?:{_WORD}|[{_UP}]\.) )?(?:[{_UP}]\. )?{_WORD}|[{_LOW}]+ [{_LOW}]+)(?: \([^()\n]*(?:\([^()\n]*\)[^()\n]*)*\))?,?\s?$")
+_CLOSE = re.compile(r" ?[(<\[]?(?:tel\.?|phone|t|mobile|mailto:)?:? ?$", re.I)
 
 
-_HELD_NAME = re.compile(rf"\((?:formerly |previously )?(?P<n>[^()\n\d@]{{3,40}})\)\s?$")
+def _beside(text: str, begin: int, given: Names) -> tuple[int, int] | None:
+    """A name directly before an address, number or its bracket."""
+    lead = _CLOSE.search(text[max(0, begin - 12) : begin])
+    at = max(0, begin - 12) + lead.start()
+    return _before(text, at, given) if lead[0].strip() else None
 
 
-def _spans(text: str) -> Iterator[tuple[str, int, int]]:
+def _spans(text: str, given: Names) -> Iterator[tuple[str, int, int]]:
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    for last, (word, kinds) in _automaton().iter(low):
+    for last, (word, kinds) in _automaton(given).iter(low):
         begin, end = last - len(word) + 1, last + 1
         open_left = begin == 0 or not low[begin - 1].isalnum()
         open_right = end == len(low) or not low[end].isalnum()
@@ -253,40 +347,40 @@ def _spans(text: str) -> Iterator[tuple[str, int, int]]:
             elif kind == "strasse" and (not open_left or text[begin : begin + 1].isupper()):
                 got = ("address", _strasse(text, begin, end))
             elif kind == "title" and open_left and text[begin].isupper():
-                got = ("name", _person(text, begin, True))
+                got = ("name", _person(text, begin, given))
             elif kind == "before" and open_left and text[end : end + 1] == " ":
-                got = ("name", _person(text, end + 1, True))
-                if got[1] and word.endswith("between") and text.startswith(" and ", got[1][1]) and (other := _person(text, got[1][1] + 5, True)):
+                got = ("name", _person(text, end + 1, given, word in ANNOUNCE))
+                if got[1] and word == "between" and text.startswith(" and ", got[1][1]) and (other := _person(text, got[1][1] + 5, given, True)):
                     yield "name", *other
             elif kind == "given" and open_left and open_right:
-                yield from _around(text, begin, end)
-            elif kind == "after":
-                start = max(0, begin - 90)
-                back = _HELD_NAME.search(text[start:begin]) or _BACK.search(text[start:begin])
-                if back:
-                    at = start + (back.start("n") if back.re is _HELD_NAME else back.start())
-                    got = ("name", _person(text, at, True))
+                yield from _around(text, begin, end, given)
+            elif kind == "after" and open_right and (text[begin - 1 : begin] in (" ", ")") or word[0] in "'’"):
+                got = ("name", _before(text, begin, given))
             if got and got[1]:
                 yield got[0], *(_whole(text, got[1]) if got[0] == "address" else got[1])
+                if got[0] in ("email", "national_id") and (name := _beside(text, got[1][0], given)):
+                    yield "name", *name
     for run in _NUMBERS.finditer(text):
         if span := _phone(text, *run.span()):
             yield "phone", *span
+            if name := _beside(text, span[0], given):
+                yield "name", *name
 
 
 _INITIAL_LAST = re.compile(rf"(?: (?:[{_UP}]\.|van|von|de|der|den|la|del|di|bin|al))* (?:{_WORD})")
 
 
-def _around(text: str, begin: int, end: int) -> Iterator[tuple[str, int, int]]:
+def _around(text: str, begin: int, end: int, given: Names) -> Iterator[tuple[str, int, int]]:
     """A given name with a surname behind it, or before it and a comma."""
     word = text[begin:end]
     if not word[0].isupper():
         return
     tail = _INITIAL_LAST.match(text, end)
-    if tail and tail[0].split()[-1].capitalize() not in _NOT_NAME and tail[0].split()[-1].isupper() == word.isupper():
+    if tail and tail[0].split()[-1].isupper() == word.isupper() and tail[0].split()[-1].lower() not in _common() and _bears(re.findall(r"[^\W\d_]+", text[begin : tail.end()]), given, False):
         yield "name", begin, tail.end()
         return
     lead = re.search(rf"({_WORD}), $", text[max(0, begin - 30) : begin])
-    if lead and lead[1].capitalize() not in _NOT_NAME and lead[1].isupper() == word.isupper():
+    if lead and lead[1].isupper() == word.isupper() and lead[1].lower() not in _common() and _bears([lead[1], word], given, True):
         at = max(0, begin - 30) + lead.start()
         if at == 0 or not text[at - 1].isalnum():
             yield "name", at, end
@@ -295,49 +389,76 @@ def _around(text: str, begin: int, end: int) -> Iterator[tuple[str, int, int]]:
 _HELD = re.compile(r"<<[^<>\n]{1,80}>>")
 
 
-def find(text: str | None) -> list[tuple[str, int, int]]:
+_GIVEN: Names = frozenset(GIVEN)
+
+
+def find(text: str | None, given: Names = _GIVEN) -> list[tuple[str, int, int]]:
     """Non-overlapping ``kind, start, end`` in order of position; positions count code points."""
     if not text:
         return []
     # Disjoint ranges in order of position; a candidate only has to be held against its neighbours.
     taken: list[tuple[int, int, str]] = [(*m.span(), "") for m in _HELD.finditer(text)]
-    for kind, begin, end in sorted(set(_spans(text)), key=lambda s: (KINDS.index(s[0]), s[1] - s[2], s[1])):
+    for kind, begin, end in sorted(set(_spans(text, given)), key=lambda s: (KINDS.index(s[0]), s[1] - s[2], s[1])):
         at = bisect_left(taken, (begin,))
         if (at == 0 or taken[at - 1][1] <= begin) and (at == len(taken) or end <= taken[at][0]):
             taken.insert(at, (begin, end, kind))
     return [(kind, begin, end) for begin, end, kind in taken if kind]
 
 
-def redact(text: str | None) -> str | None:
+def redact(text: str | None, given: Names = _GIVEN) -> str | None:
     """The text with typed placeholders in place of personal data."""
     if not text:
         return text
     out, at = [], 0
-    for kind, begin, end in find(text):
+    for kind, begin, end in find(text, given):
         out += [text[at:begin], PLACEHOLDERS[kind]]
         at = end
     return "".join([*out, text[at:]])
 
 
-def _find_each(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: [{"kind": k, "start_pos": b, "end_pos": e} for k, b, e in find(t)])
+def _long(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    pairs: Column = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns])
+    return df.select(F.col(key).cast("string").alias("record_id"), F.inline(F.filter(pairs, lambda x: x["text"] != "")))
 
 
-def _redact_each(texts: pd.Series) -> pd.Series:
-    return texts.map(redact)
+# Documented bound: bytes of learned given names that are broadcast.
+MAX_NAME_BYTES = 16_000_000
 
 
-def _long(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    pairs: Column = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns])
-    return df.select(F.col(key).cast("string").alias("record_id"), F.inline(F.filter(pairs, lambda x: x["text"] != "")))
+def known_names(df: DataFrame, columns: list[str], least: int = 2) -> Names:
+    """Given names from columns that hold names of persons: first words that stand before ``least`` or more surnames.
+
+    Counted over all rows; the words alone come to the driver, after a check of their size.
+    """
+    held = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("n"))
+    pairs = held.select(F.split(F.trim(F.lower("n")), r"\s+").alias("w")).where(F.size("w").between(2, 4)).select(F.element_at("w", 1).alias("g"), F.element_at("w", -1).alias("s"))
+    words = pairs.where(F.length("g") > 1).groupBy("g").agg(F.approx_count_distinct("s").alias("n")).where(F.col("n") >= least).select("g")
+    rows = words.toLocalIterator()
+    names, size = set(GIVEN), 0
+    for row in rows:
+        size += len(row.g)
+        if size > MAX_NAME_BYTES:
+            raise ValueError("more given names than are broadcast; raise `least`")
+        names.add(row.g)
+    return frozenset(names)
 
 
-def found(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def found(df: DataFrame, key: str, columns: list[str], given: Names = _GIVEN) -> DataFrame:
     """``field, record_id, kind, start_pos, end_pos`` of each piece of personal data in the columns."""
-    spans = F.pandas_udf(_find_each, "array<struct<kind:string,start_pos:bigint,end_pos:bigint>>")
+    sent = df.sparkSession.sparkContext.broadcast(given)
+
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"kind": k, "start_pos": b, "end_pos": e} for k, b, e in find(t, sent.value)])
+
+    spans = F.pandas_udf(each, "array<struct<kind:string,start_pos:bigint,end_pos:bigint>>")
     return _long(df, key, columns).select("field", "record_id", F.inline(spans("text")))
 
 
-def redacted(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def redacted(df: DataFrame, key: str, columns: list[str], given: Names = _GIVEN) -> DataFrame:
     """``field, record_id, redacted`` of every non-empty text in the columns."""
-    return _long(df, key, columns).select("field", "record_id", F.pandas_udf(_redact_each, "string")("text").alias("redacted"))
+    sent = df.sparkSession.sparkContext.broadcast(given)
+
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: redact(t, sent.value))
+
+    return _long(df, key, columns).select("field", "record_id", F.pandas_udf(each, "string")("text").alias("redacted"))

@@ -53,7 +53,8 @@ def p4_group_hashes(spark: SparkSession, d: str) -> DataFrame:
 
 def _pii(spark: SparkSession, d: str, make) -> DataFrame:
     texts = table(spark, d, "redaction_results"), table(spark, d, "search_results")
-    return make(texts[0], "redaction_id", ["redacted_text"]).unionByName(make(texts[1], "id", ["customer_comments", "current_narrative"]))
+    given = pii.known_names(texts[1], ["negotiated_by"])
+    return make(texts[0], "redaction_id", ["redacted_text"], given).unionByName(make(texts[1], "id", ["customer_comments", "current_narrative"], given))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

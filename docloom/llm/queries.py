@@ -120,11 +120,21 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
     return spans.shares(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p10_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The stretches of each document that stand elsewhere too."""
+    found = spans.shared_spans(table(spark, d, "documents"), "doc_id", "text")
+    return found.select(F.col("id").alias("doc_id"), F.inline("spans")).select("doc_id", F.col("start").alias("start_pos"), F.col("stop").alias("end_pos"))
+
+
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    return spans.levels(table(spark, d, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         p2_found, p2_new_bodies, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
-        p9_found, p9_spans, p9_items, p10_found, p10_classes, p10_shares,
+        p9_found, p9_spans, p9_items, p10_found, p10_classes, p10_shares, p10_spans, p10_levels,
     )
 }
 __all__ = ["ORACLE", "QUERIES"]

@@ -13,6 +13,13 @@ def _runs(key: str, text: str, table: str, n: int) -> str:
     )
 
 
+# Windows of 200 characters that stand in more than one document, and how they join to stretches.
+_STRETCHES = """WITH w AS (SELECT doc_id, i - 1 AS s, hash(substr(text, i, 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
+        r AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1), k AS (SELECT DISTINCT doc_id, s FROM w SEMI JOIN r ON w.h = r.h),
+        b AS (SELECT doc_id, s, coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > 200, true) AS fresh FROM k),
+        g AS (SELECT doc_id, s, sum(fresh::int) OVER (PARTITION BY doc_id ORDER BY s) AS n FROM b),
+        x AS (SELECT doc_id, min(s) AS start_pos, max(s) + 200 AS end_pos FROM g GROUP BY doc_id, n)"""
+
 ORACLE: dict[str, str] = {
     "p4_found": f"""WITH s AS ({_runs('content_id', 'text', 'parsed_content', 3)}), n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
         o AS (SELECT a.k AS a, b.k AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.k < b.k GROUP BY ALL)
@@ -26,4 +33,12 @@ ORACLE: dict[str, str] = {
     "p10_found": """WITH g AS (SELECT DISTINCT doc_id, hash(substr(text, i, 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
         r AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1), k AS (SELECT g.* FROM g SEMI JOIN r ON g.h = r.h)
         SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",
+    "p10_spans": f"{_STRETCHES} SELECT doc_id, start_pos, end_pos FROM x",
+    "p10_shares": f"""{_STRETCHES}, t AS (SELECT doc_id, sum(end_pos - start_pos)::BIGINT AS c, count(*) AS n FROM x GROUP BY 1)
+        SELECT doc_id, coalesce(length(text), 0)::BIGINT AS n_chars, coalesce(c, 0)::BIGINT AS shared_chars, CASE WHEN length(text) > 0 THEN coalesce(c, 0) / length(text) ELSE 0.0::DOUBLE END AS share,
+        coalesce(n, 0)::INTEGER AS n_spans FROM documents LEFT JOIN t USING (doc_id)""",
+    "p10_classes": """WITH t AS (SELECT doc_id, text FROM documents WHERE length(text) >= 200), c AS (SELECT text, min(doc_id) AS class_id, count(*) AS n_copies FROM t GROUP BY 1)
+        SELECT doc_id, class_id, n_copies FROM t JOIN c USING (text)""",
+    "p4_classes": f"""WITH t AS (SELECT content_id, text FROM parsed_content WHERE len({_WORDS.format(t='text')}) >= 3), c AS (SELECT text, min(content_id) AS class_id, count(*) AS n_copies FROM t GROUP BY 1)
+        SELECT content_id, class_id, n_copies FROM t JOIN c USING (text)""",
 }

@@ -146,4 +146,17 @@ def test_shared_ruled_lines(spark, monkeypatch, crowd):
     assert {tuple(r) for r in spans.shared_pairs(df, "id", "text").collect()} == pairs
     got = {r.id: r for r in spans.shares(df, "id", "text").collect()}
     assert {k: r.shared_chars for k, r in got.items()} == cover
-    assert [tuple(x) for x in got[0].spans] == [(90, 1_090)] and [tuple(x) for x in got[6].spans] == [(0, 200)]
+    found = {r.id: [tuple(x) for x in r.spans] for r in spans.shared_spans(df, "id", "text").collect()}
+    assert found[0] == [(90, 1_090)] and found[6] == [(0, 200)] and found[4] == []
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_levels_of_doubling(spark, monkeypatch, sent):
+    monkeypatch.setattr(spans, "SENT_ROWS", sent)
+    rng = random.Random(9)
+    rand = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    long, brief = rand(3_000), rand(260)
+    rows = [(0, rand(70) + long), (1, long + rand(90)), (2, rand(50) + brief + rand(80)), (3, brief + rand(300)), (4, rand(900)), (5, None), (6, long + rand(90))]
+    got = {r.id: r.longest for r in spans.levels(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()}
+    assert got[0] == got[1] == got[6] == 1_600 and {got[2], got[3]} <= {100, 200} and 4 not in got
+    assert spans.levels(spark.createDataFrame([], "id long, text string"), "id", "text").count() == 0

@@ -79,7 +79,7 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"{path} cannot be renamed to {to}")
 
 
-def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+def numbered(df: DataFrame, order: str | list[str], name: str) -> DataFrame:
     """Rows with their place in order, from 0, in column ``name``.
 
     The sorted rows are written once; a row's place is its place in its partition plus the rows of the partitions

@@ -3,11 +3,14 @@
 A T-occurrence search by DivideSkip, spread over shards. A set of ``n`` shingles with similarity ``t`` to another
 shares at least ``T = ceil(t * n)`` of them. Its inverted lists are ordered by length: the longest, ``T - c`` of
 them, are set aside, and a partner must occur at least ``c`` times in the rest. Those short lists are merged by a
-heap, shard by shard of the shingles; partners that reach ``c`` over all shards are then probed for the long
-lists by binary search in their sorted sets, and kept if they reach the overlap that the similarity asks for.
+heap, shard by shard of the shingles; the long lists of partners that reach ``c`` over all shards are then probed, each by
+a binary search in the partner's sorted list, and pairs are kept that reach the overlap the similarity asks for.
 
-Shingles that occur in one set alone have no list to merge. Records with equal sets are one class, and take
-part once. A list longer than ``BLOCK`` is cut into blocks and its block pairs go to different shards.
+Shingles are counted once. Those that occur in one set alone have no list to merge and go no further; the others get their
+rank by length of list, and from there on only ranks are moved, of sets that have enough of them. The ranks reach the sets
+by broadcast where a count shows that they are few (``SENT_ROWS``), else by sort and merge.
+Records with equal sets are one class, and take part once. A list longer than ``BLOCK`` is cut into blocks and its block
+pairs go to different shards.
 
 Defined results: null and empty texts, and texts with fewer words than a shingle, match nothing; equal sets
 have similarity 1; rows that repeat an id are one record (the union of their pairs).
@@ -27,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.words import shingles, word_numbers, words_of
-from docloom.session import checkpointed, scratch_path, shuffle_width
+from docloom.session import checkpointed, numbered, scratch_path, shuffle_width
 
 WORDS, SIMILARITY = 3, 0.7
 SHORT = 3
 BLOCK = 2_048
 SHARD_ROWS = 500_000
 STAR = 1_000
+#: Rows of three numbers that are broadcast at most, after they were counted.
+SENT_ROWS = 1_000_000
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -143,16 +148,35 @@ def _merge_shard(similarity: float):
     return each
 
 
-def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
-    """``a, b, overlap, similarity`` of classes; ``sets`` has one row ``class, n, items`` for each class."""
+def _written(df: DataFrame, name: str) -> DataFrame:
+    df.write.parquet(path := scratch_path(df.sparkSession, name))
+    return df.sparkSession.read.parquet(path)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked for broadcast where it has few rows."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
+def _lists(sets: DataFrame, similarity: float) -> DataFrame:
+    """``class, n, l`` of the sets that can have a partner: their repeated shingles as ``rank, df``, shortest list first."""
     postings = sets.select("class", "n", F.explode("items").alias("item"))
     frequency = postings.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
-    listed = postings.join(frequency, "item").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("l"))
+    ranked = numbered(frequency, ["df", "item"], "rank")
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9))
+    listed = postings.join(_small(_written(ranked, "ranks")), "item").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "df"))).alias("l"))
+    return _written(listed.where(F.size("l") >= least), "lists")
+
+
+def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
+    """``a, b, overlap, similarity`` of classes; ``sets`` has one row ``class, n, items`` for each class."""
+    listed = _lists(sets, similarity)
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
-    take = (F.col("n") - least + F.least(F.lit(short), least)) - (F.col("n") - F.size("l"))
-    brief = listed.where((take > 0) & (F.size("l") >= least)).select(
-        "class", "n", F.size("l").alias("m"), F.posexplode(F.slice("l", F.lit(1), take)).alias("f", "x")
-    ).select("class", "n", "f", (F.col("m") - F.col("f") - 1).alias("r"), "x.df", "x.item")
+    # Of the lists of repeated shingles, all but the longest ``least - short``.
+    take = (F.size("l") - least + F.least(F.lit(short), least)).cast("int")
+    brief = listed.select("class", "n", F.size("l").alias("m"), F.posexplode(F.slice("l", F.lit(1), take)).alias("f", "x")).select(
+        "class", "n", "f", (F.col("m") - F.col("f") - 1).alias("r"), "x.df", F.col("x.rank").alias("item")
+    )
     blocks = F.ceil(F.col("df") / BLOCK).cast("int")
     brief = brief.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     spread = brief.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -162,33 +186,37 @@ def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int
     sharded = spread.withColumn("shard", F.pmod(F.xxhash64("item", "i", "j"), F.lit(shards)))
     merged = sharded.groupBy("shard").applyInPandas(_merge_shard(similarity), "a bigint, b bigint, n_b int, k int")
     enough = F.col("k") >= F.least(F.lit(short), F.ceil(F.col("n_b") * similarity - 1e-9))
-    counted = merged.groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("n_b").alias("n_b")).where(enough)
-    one = sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a"))
-    two = sets.select(F.col("class").alias("b"), F.col("items").alias("items_b"))
-    pairs = counted.join(two, "b").join(one, "a")
+    counted = merged.groupBy("a", "b").agg(F.sum("k").cast("int").alias("k"), F.max("n_b").alias("n_b")).where(enough).drop("n_b")
+    ranks = F.transform("l", lambda x: x["rank"])
+    sides = [listed.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), ranks.alias(f"l_{x}"), F.get(ranks, take - 1).alias(f"last_{x}")) for x in ("a", "b")]
+    pairs = counted.join(sides[1], "b").join(sides[0], "a")
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            overlap = np.zeros(len(pdf), np.int64)
-            for i, (x, y) in enumerate(zip(pdf["items_a"], pdf["items_b"], strict=True)):
+            overlap = pdf["k"].to_numpy(np.int64).copy()
+            # Lists up to the last short one of either set were merged; the rest are probed.
+            ends = np.minimum(pdf["last_a"].to_numpy(), pdf["last_b"].to_numpy())
+            for i, (x, y, end) in enumerate(zip(pdf["l_a"], pdf["l_b"], ends, strict=True)):
+                x = x[np.searchsorted(x, end, "right") :]
                 at = np.searchsorted(y, x)
-                overlap[i] = np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)
+                overlap[i] += np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)
             out = pdf[["a", "b"]].assign(overlap=overlap, similarity=overlap / (pdf["n_a"] + pdf["n_b"] - overlap))
             yield out[overlap >= similarity * (pdf["n_a"] + pdf["n_b"] - overlap) - 1e-9]
 
-    return pairs.select("a", "b", "n_a", "n_b", "items_a", "items_b").mapInPandas(probe, "a bigint, b bigint, overlap bigint, similarity double")
+    return pairs.mapInPandas(probe, "a bigint, b bigint, overlap bigint, similarity double")
 
 
 def _stored(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """The sets of the records, from a table in the shared folder."""
-    spark = df.sparkSession
-    shingle_sets(df, key, text, words).write.parquet(path := scratch_path(spark, "shingle-sets"))
-    return spark.read.parquet(path)
+    sets = shingle_sets(df, key, text, words)
+    return _written(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
 
 
 def _class_sets(stored: DataFrame) -> DataFrame:
-    # All members of a class have the same set; copies are dropped before the shuffle where they meet.
-    return stored.select("class", "n", "items").dropDuplicates(["class"])
+    """One row of each class; the other rows are left out where the sets are read, so that no set is moved."""
+    first = stored.groupBy("class").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    copies = stored.select("class", "row").join(first, "class").where("row <> first").select("row")
+    return stored.select("class", "n", "items", "row").join(_small(_written(copies, "copies")), "row", "left_anti").drop("row")
 
 
 def _prepared(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:

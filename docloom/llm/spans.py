@@ -39,7 +39,7 @@ CROWD = 64
 STAR = 1_000
 BATCH_CHARS = 1_000_000
 #: Rows of two numbers that are broadcast at most, after they were counted.
-SENT_ROWS = 1_000_000
+SENT_ROWS = 250_000
 _BASE = 0x9E3779B97F4A7C15
 
 

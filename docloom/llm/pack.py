@@ -6,7 +6,11 @@ number of open containers with that gap smallest. The rule drives the gaps apart
 documents find a gap they fill; no sorting and no look-ahead is needed.
 
 A shard has a bounded number of documents (``SHARD_DOCS``), so the work of a task does not grow with the
-data, and each shard leaves a bounded number of containers open. Only ids and sizes are shuffled.
+data. What a shard leaves in containers that are not full is packed again, together with what other shards left, round by
+round, until one shard holds it all or nothing more is gained. Only keys and sizes are shuffled.
+
+Shards and order within them follow from a hash of key, size and number of the copy, so the same table gives the same
+packing however its files are laid out; copies of a row are told apart by a number, so they spread over the shards.
 
 Defined results: a text beyond the capacity is cut into full containers and a rest, nothing else is cut;
 null and empty texts have no tokens and no container (null); repeated rows are packed each.
@@ -22,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.session import scratch_path
+
 CAPACITY = 2_048
 SHARD_DOCS = 50_000
 
@@ -83,29 +89,42 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def packed(df: DataFrame, key: str, text: str, tokenizer: str | None = None, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """``key, piece, first_token, n_tokens, container`` (a text): where each document, or part of one, went.
+def _pack_shard(turn: int):
+    def each(label: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["place", "_key", "copy", "piece"], kind="stable")
+        size = pdf["n_tokens"].to_numpy()
+        container = sum_of_squares(size, int(pdf["capacity"].iloc[0]))
+        gap = int(pdf["capacity"].iloc[0]) - np.bincount(container, size).astype(np.int64)
+        names = np.array([f"{turn}-{label[0]}-{c}" for c in range(len(gap))], object)
+        return pdf[["_key", "copy", "piece", "first_token", "n_tokens"]].assign(container=names[container], gap=gap[container])
 
-    Shards are dealt out by a hash of key and size together with the row's place, so copies spread evenly.
-    """
-    sizes = token_counts(df, key, text, tokenizer or default_tokenizer())
-    shards = max(1, -(-df.count() // shard_docs))
-    row = F.monotonically_increasing_id()
-    placed = sizes.withColumn("row", row).withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
-    kind = dict(df.dtypes)[key]
+    return each
 
-    def each(label: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row", kind="stable")
-        n = pdf["n_tokens"].to_numpy()
-        parts = np.maximum(1, -(-n // capacity))
-        at = np.repeat(np.arange(len(pdf)), parts)
-        piece = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
-        first = piece * capacity
-        size = np.minimum(capacity, n[at] - first)
-        container = np.full(len(at), -1, np.int64)
-        some = size > 0
-        container[some] = sum_of_squares(size[some], capacity)
-        names = [f"{label[0]}-{c}" if c >= 0 else None for c in container]
-        return pd.DataFrame({key: pdf[key].to_numpy()[at], "piece": piece.astype("int32"), "first_token": first, "n_tokens": size, "container": names})
-
-    return placed.groupBy("shard").applyInPandas(each, f"`{key}` {kind}, piece int, first_token bigint, n_tokens bigint, container string")
+
+def packed(df: DataFrame, key: str, text: str, tokenizer: str | None = None, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """``key, piece, first_token, n_tokens, container`` (a text): where each document, or part of one, went."""
+    spark, kind = df.sparkSession, dict(df.dtypes)[key]
+    sizes = token_counts(df, key, text, tokenizer or default_tokenizer()).select(F.col(key).alias("_key"), "n_tokens")
+    copies = sizes.groupBy("_key", "n_tokens").count().select("_key", F.col("n_tokens").alias("n"), F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("copy"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / capacity)).cast("int")
+    items = copies.select("_key", "copy", "n", F.explode(F.sequence(F.lit(0), parts - 1)).alias("piece")).withColumn("first_token", F.col("piece").cast("bigint") * capacity)
+    items = items.withColumn("n_tokens", F.least(F.lit(capacity).cast("bigint"), F.col("n") - F.col("first_token"))).withColumn("place", F.xxhash64("_key", "n", "copy", "piece"))
+    items.write.parquet(path := scratch_path(spark, "sizes"))
+    items = spark.read.parquet(path)
+    result = ["_key", "piece", "first_token", "n_tokens", "container"]
+    done = items.where("n_tokens = 0").select(*result[:-1], F.lit(None).cast("string").alias("container"))
+    rest, left, turn = items.where("n_tokens > 0").drop("n"), items.where("n_tokens > 0").count(), 0
+    while left:
+        shards = -(-left // shard_docs)
+        sharded = rest.withColumn("shard", F.pmod(F.xxhash64("place", F.lit(turn)), F.lit(shards))).withColumn("capacity", F.lit(capacity))
+        made = sharded.groupBy("shard").applyInPandas(_pack_shard(turn), f"_key {kind}, copy int, piece int, first_token bigint, n_tokens bigint, container string, gap bigint")
+        made.write.parquet(path := scratch_path(spark, "packed"))
+        made = spark.read.parquet(path)
+        open_ones = made.where("gap > 0")
+        again = open_ones.count() if shards > 1 else 0
+        if shards == 1 or again > 0.9 * left:
+            return done.unionByName(made.select(*result)).withColumnRenamed("_key", key)
+        done = done.unionByName(made.where("gap = 0").select(*result))
+        rest = open_ones.select("_key", "copy", "piece", "first_token", "n_tokens", F.xxhash64("_key", "copy", "piece", "n_tokens").alias("place"))
+        left, turn = again, turn + 1
+    return done.withColumnRenamed("_key", key)

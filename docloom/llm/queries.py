@@ -84,6 +84,18 @@ def p7_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_rows(table(spark, d, "parsed_content"), "content_id", "text")
 
 
+def p7_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """Every long text put together again from its pieces, and whether these keep to the limit and the overlap."""
+    p = p7_pieces(spark, d).groupBy("content_id").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "start_pos", "end_pos", "piece"))).alias("p"))
+    first = F.array(F.struct(F.lit(0).cast("bigint").alias("end"), F.lit("").alias("said")))[0]
+    joined = F.aggregate("p", first, lambda done, x: F.struct(x["end_pos"].alias("end"), F.concat(done["said"], F.substring(x["piece"], done["end"] - x["start_pos"] + 1, F.lit(split.LIMIT))).alias("said")))
+    overlap = F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.get("p", i - 1)["end_pos"] - F.get("p", i)["start_pos"])
+    return p.select(
+        "content_id", F.md5(joined["said"].cast("binary")).alias("text_md5"), F.exists("p", lambda x: F.length(x["piece"]) > split.LIMIT).alias("too_long"),
+        F.exists(overlap, lambda x: (x < split.OVERLAP // 2) | (x > split.OVERLAP * 2)).alias("odd_overlap"),
+    )
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_pieces(spark, d).where("chunk_index = 0").select("content_id").distinct()
 
@@ -92,6 +104,20 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return pack.packed(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the packing: documents packed, containers over the capacity, texts cut in vain, waste beyond 5 %."""
+    items = p8_containers(spark, d).where("container is not null")
+    none = F.lit(0).cast("bigint")
+    boxes = items.groupBy("container").agg(F.sum("n_tokens").alias("filled")).select(
+        none.alias("doc"), (F.col("filled") > pack.CAPACITY).cast("bigint").alias("over"), none.alias("cut"), "filled", F.lit(1).cast("bigint").alias("box")
+    )
+    texts = items.groupBy("doc_id").agg(F.count("*").alias("parts"), F.sum("n_tokens").alias("n")).select(
+        F.lit(1).cast("bigint").alias("doc"), none.alias("over"), (F.col("parts") != F.ceil(F.col("n") / pack.CAPACITY)).cast("bigint").alias("cut"), none.alias("filled"), none.alias("box")
+    )
+    sums = [F.coalesce(F.sum(c), none).alias(n) for c, n in (("doc", "n_docs"), ("over", "n_over"), ("cut", "n_cut_in_vain"))]
+    return boxes.unionByName(texts).agg(*sums, F.coalesce(F.sum("filled") < 0.95 * pack.CAPACITY * F.sum("box"), F.lit(False)).alias("wasteful"))
+
+
 def p9_spans(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "item_text")
 
@@ -133,7 +159,7 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_new_bodies, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p8_containers,
+        p2_found, p2_new_bodies, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p7_rebuilt, p8_containers, p8_checks,
         p9_found, p9_spans, p9_items, p10_found, p10_classes, p10_shares, p10_spans, p10_levels,
     )
 }

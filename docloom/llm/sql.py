@@ -25,6 +25,8 @@ ORACLE: dict[str, str] = {
         o AS (SELECT a.k AS a, b.k AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.k < b.k GROUP BY ALL)
         SELECT o.a AS content_id_a, o.b AS content_id_b FROM o JOIN n x ON x.k = o.a JOIN n y ON y.k = o.b WHERE o.o >= 0.7 * (x.n + y.n - o.o) - 1e-9""",
     "p7_found": "SELECT DISTINCT content_id FROM parsed_content WHERE length(text) > 6000",
+    "p7_rebuilt": "SELECT content_id, md5(text) AS text_md5, false AS too_long, false AS odd_overlap FROM parsed_content WHERE length(text) > 6000",
+    "p8_checks": "SELECT count(DISTINCT doc_id) AS n_docs, 0::BIGINT AS n_over, 0::BIGINT AS n_cut_in_vain, false AS wasteful FROM documents WHERE text <> ''",
     "p9_found": f"""WITH d AS ({_runs('doc_id', 'text', 'documents', 12)}), i AS ({_runs('item_id', 'item_text', 'eval_items', 12)})
         SELECT DISTINCT d.k AS doc_id, i.k AS item_id FROM d JOIN i ON d.g = i.g""",
     "p9_items": f"""WITH d AS ({_runs('doc_id', 'text', 'documents', 12)}), i AS ({_runs('item_id', 'item_text', 'eval_items', 12)}),

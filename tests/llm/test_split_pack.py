@@ -37,29 +37,30 @@ def test_natural_boundaries():
     check("x" * 30_000, 6_000, 200)
 
 
-def test_ranges_do_not_show(monkeypatch):
-    text = "".join(random.Random(4).choice(["word ", "End. Next ", "line\n", "para\n\n"]) for _ in range(20_000))
-    whole = pieces_of(text)
-    monkeypatch.setattr(split, "RANGE", 5_000)
-    assert pieces_of(text) == whole
-
-
 def test_files_are_cut_by_byte_ranges(spark, tmp_path):
     rng = random.Random(5)
     texts = {}
-    for name in ("a", "b", "empty", "short"):
-        n = {"a": 30_000, "b": 9_000, "empty": 0, "short": 10}[name]
+    for name, n in {"a": 9_000, "b": 3_000, "blank": 0, "empty": 0, "short": 10}.items():
         texts[name] = "".join(rng.choice(["wörd ", "Ünd 😀. Next ", "líne\n", "par\n\n"]) for _ in range(n))
-        (tmp_path / name).write_text(texts[name], encoding="utf-8", newline="")
-    out = split_files(spark, [str(tmp_path / n) for n in texts], range_bytes=7_001, halo_bytes=128).toPandas()
+    texts["blank"] = "one. " * 900 + "\n" * 9_000 + "é" * 9_000 + "e\u0301" * 3_000
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    out = split_files(spark, [str(tmp_path / n) for n in texts], 300, 20, range_bytes=5_000, halo_bytes=16).toPandas()
+    rows = spark.createDataFrame([(n, t) for n, t in texts.items()], "path string, first string")
+    again = split_rows(rows, "path", "first", 300, 20, range_bytes=5_000).toPandas()
     for name, text in texts.items():
-        rows = out[out.path == str(tmp_path / name)].sort_values("chunk_index")
-        if len(text) <= 6_000:
-            assert not len(rows)
+        got = out[out.path == str(tmp_path / name)].sort_values("chunk_index")
+        same = again[again.path == name].sort_values("chunk_index")
+        assert got.piece.tolist() == same.piece.tolist()
+        if len(text) <= 300:
+            assert not len(got)
             continue
-        assert rows.start_pos.iloc[0] == 0 and rows.end_pos.iloc[-1] == len(text)
-        assert all(text[b:e] == p and len(p) <= 6_000 for b, e, p in zip(rows.start_pos, rows.end_pos, rows.piece, strict=True))
-        assert all(b <= e for b, e in zip(rows.start_pos[1:], rows.end_pos, strict=False))
+        starts, ends = got.start_pos.tolist(), got.end_pos.tolist()
+        assert got.chunk_index.tolist() == list(range(len(got))) and starts[0] == 0 and ends[-1] == len(text)
+        assert all(text[b:e] == p and 0 < len(p) <= 300 for b, e, p in zip(starts, ends, got.piece, strict=True))
+        assert all(b < c <= e < f and e - c <= 26 for b, e, c, f in zip(starts, ends, starts[1:], ends[1:], strict=False))
+        assert all(text[e - 1].isspace() or text[e - 1] in ".!?" for e in ends[:-1]) or name == "blank"
+    assert not any(p.startswith("\u0301") for p in out.piece)
 
 
 def test_rows(spark):
@@ -116,3 +117,13 @@ def test_containers(spark):
     assert long.n_tokens.iloc[:-1].eq(2_048).all() and long.first_token.tolist() == [2_048 * k for k in range(len(long))]
     assert (out.groupby("doc_id").size().drop(902) == 1).drop(5).all() and (out.doc_id == 5).sum() == 2
     assert packed(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").count() == 0
+
+
+def test_shards_leave_little_open_and_do_not_depend_on_the_layout(spark):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(k if k % 3 else None, " ".join(["word"] * rng.randrange(1, 90))) for k in range(3_000)], "container long, text string")
+    out = [packed(x, "container", "text", shard_docs=700).toDF("k", "piece", "first", "n", "box").toPandas() for x in (df.repartition(1), df.repartition(7))]
+    order = ["k", "n", "piece", "box"]
+    assert out[0].sort_values(order)[order].reset_index(drop=True).equals(out[1].sort_values(order)[order].reset_index(drop=True))
+    fill = out[0].groupby("box").n.sum()
+    assert fill.max() <= 2_048 and len(out[0]) == 3_000 and fill.sum() > 0.98 * 2_048 * len(fill) and out[0].box.str.startswith("1-").any()

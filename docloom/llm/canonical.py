@@ -4,9 +4,10 @@ The reference entries stand in a BK-tree under the Levenshtein distance; the tri
 subtrees, and a search gives every entry within the threshold. A list beyond ``SHARD_ENTRIES`` is cut
 into shards by hash, each with a tree of its own, and the nearest of all shards wins.
 
-The trees go to the executors as one broadcast (their size is checked: see ``MAX_BROADCAST_BYTES``);
-rows stay where they are, so a name that holds a third of the rows costs nothing extra. Each worker
-remembers the names it has resolved.
+Up to ``MAX_BROADCAST_BYTES``, which are measured, the entries go to the executors as one broadcast;
+rows stay where they are, so a name that holds a third of the rows costs nothing extra, and each worker
+remembers the names it has resolved. A larger list stays in shards in the shared folder: the different values
+are held against each shard, a task loads one shard at a time, and the shards' winners are merged by value.
 
 Steps for a value: notes, legal forms, articles, case, accents and digits in place of letters are
 levelled; then the whole name is searched by growing radius; for a lone stem or a name cut short, the
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.nulls import is_missing
+from docloom.llm.split import file_system
+from docloom.session import hot_left_join, scratch_path, shuffle_width
 
 # Documented bounds: entries per tree, and the bytes of names that may be broadcast.
 SHARD_ENTRIES = 20_000
@@ -148,6 +151,16 @@ class BKTree:
         return found
 
 
+Winner = tuple[int, set[tuple[str, str]]] | None
+
+
+def pick(ids: set[tuple[str, str]], form: str) -> str:
+    """The entry meant by a value with a legal form: the only one, or the only one of that form; else none."""
+    if len({i for i, _ in ids}) > 1 and form:
+        ids = {x for x in ids if x[1] == form}
+    return next(iter(ids))[0] if len({i for i, _ in ids}) == 1 else ""
+
+
 class Resolver:
     """Reference entries, ready to be searched. ``entries``: id, name, aliases split by ``|``."""
 
@@ -182,13 +195,8 @@ class Resolver:
     def radius(key: str) -> int:
         return 0 if len(key) < 5 else 1 if len(key) < 8 else 2
 
-    def _pick(self, ids: set[tuple[str, str]], form: str) -> str:
-        if len({i for i, _ in ids}) > 1 and form:
-            ids = {x for x in ids if x[1] == form}
-        return next(iter(ids))[0] if len({i for i, _ in ids}) == 1 else ""
-
-    def _nearest(self, trees: list[BKTree], table: dict[str, set], key: str, form: str, radius: int, edits: int = 0) -> str | None:
-        """The winner over all shards; None where nothing is near enough.
+    def _nearest(self, trees: list[BKTree], table: dict[str, set], key: str, radius: int, edits: int = 0) -> Winner:
+        """The entries nearest to a key over all trees; None where nothing is near enough.
 
         With ``edits``, a swap of neighbours counts as one edit: the tree is searched to twice as many
         plain edits, which holds all such names, and the rest are dropped.
@@ -199,7 +207,7 @@ class Resolver:
         if not near:
             return None
         best = min(d for d, _ in near)
-        return self._pick(set().union(*(table[k] for d, k in near if d == best)), form)
+        return best, set().union(*(table[k] for d, k in near if d == best))
 
     def resolve(self, value: str) -> str:
         """The entry of a value; remembered by the value as typed and by its levelled words."""
@@ -213,53 +221,60 @@ class Resolver:
             return ""
         key = (*words, form)
         if (known := self.seen.get(key)) is None:
-            known = self.seen[key] = self._search(words, form) if words else ""
+            found = self.winner(words)
+            known = self.seen[key] = pick(found[2], form) if found else ""
         self.typed[value] = known
         return known
 
-    def _search(self, words: list[str], form: str) -> str:
+    def winner(self, words: list[str]) -> tuple[int, int, set[tuple[str, str]]] | None:
+        """Number of the first step that finds entries, their distance, and all entries found there."""
+        if not words or sum(map(len, words)) > self.longest:
+            return None
+        return next(((step, *found) for step, found in self._steps(words) if found), None)
+
+    def _steps(self, words: list[str]) -> Iterator[tuple[int, Winner]]:
         joined = "".join(words)
         turned = dict.fromkeys(["".join(words[i:] + words[:i]) for i in range(len(words))])
         if len(words) == 1 and joined.startswith("the") and len(joined) > 8:
             turned[joined[3:]] = None
-        for key in turned:
-            if (got := self._nearest(self.trees, self.names, key, form, 0)) is not None:
-                return got
+        for n, key in enumerate(turned):
+            yield n, self._nearest(self.trees, self.names, key, 0)
         # A name cut short: the only entry that begins so, with more than the stem given.
-        at = bisect_left(self.order, joined)
         begun = []
-        while at < len(self.order) and self.order[at].startswith(joined):
+        for at in range(bisect_left(self.order, joined), len(self.order)):
+            if not self.order[at].startswith(joined):
+                break
             begun.append(self.order[at])
-            at += 1
         if len(words) > 1 and begun and len(joined) >= 6:
-            return self._pick(set().union(*(self.names[k] for k in begun)), form)
-        if (radius := self.radius(joined)) and (got := self._nearest(self.trees, self.names, joined, form, radius)) is not None:
-            return got
+            yield 1_000, (0, set().union(*(self.names[k] for k in begun)))
+        if radius := self.radius(joined):
+            yield 1_001, self._nearest(self.trees, self.names, joined, radius)
         if len(words) == 1:
-            for reach in (0, self.radius(joined)):
-                if (got := self._nearest(self.stem_trees, self.stems, joined, form, reach)) is not None:
-                    return got
-        for key in list(turned) if radius else ():
-            if (got := self._nearest(self.trees, self.names, key, form, 2 * radius, radius)) is not None:
-                return got
-        if len(words) == 1 and radius and (got := self._nearest(self.stem_trees, self.stems, joined, form, 2 * radius, radius)) is not None:
-            return got
-        return ""
-
-
-def entries_of(df: DataFrame, key: str, name: str, aliases: str | None = None) -> list[tuple[str, str, str | None]]:
-    """The reference list on the driver, after a check of its size."""
-    rows = df.select(F.col(key).alias("k"), F.col(name).alias("n"), (F.col(aliases) if aliases else F.lit(None).cast("string")).alias("a")).distinct()
-    size = rows.agg(F.sum(F.octet_length("n") + F.coalesce(F.octet_length("a"), F.lit(0)) + 64)).first()[0] or 0
-    if size > MAX_BROADCAST_BYTES:
-        raise ValueError(f"a reference list of {size} bytes is not broadcast; resolve against parts of it and merge the winners")
-    return [(r.k, r.n, r.a) for r in rows.sort("k", "n").collect()]
+            for n, reach in enumerate((0, radius)):
+                yield 1_002 + n, self._nearest(self.stem_trees, self.stems, joined, reach)
+        if radius:
+            for n, key in enumerate(turned):
+                yield 1_004 + n, self._nearest(self.trees, self.names, key, 2 * radius, radius)
+            if len(words) == 1:
+                yield 2_000, self._nearest(self.stem_trees, self.stems, joined, 2 * radius, radius)
+
+
+Entries = list[tuple[str, str, str | None]]
+
+
+def listed(df: DataFrame, key: str, name: str, aliases: str | None = None) -> DataFrame:
+    """A reference list in the common form: ``k, n, a``."""
+    return df.select(F.col(key).cast("string").alias("k"), F.col(name).alias("n"), (F.col(aliases) if aliases else F.lit(None).cast("string")).alias("a")).distinct()
+
+
+def _size(entries: DataFrame) -> int:
+    return entries.agg(F.sum(F.octet_length("n") + F.coalesce(F.octet_length("a"), F.lit(0)) + 64)).first()[0] or 0
 
 
 _resolvers: dict[tuple, Resolver] = {}
 
 
-def _resolver(entries: list[tuple[str, str, str | None]]) -> Resolver:
+def _resolver(entries: Entries) -> Resolver:
     """A worker keeps its last few resolvers, with what they remember, from task to task."""
     key = tuple(entries)
     if key not in _resolvers:
@@ -269,20 +284,75 @@ def _resolver(entries: list[tuple[str, str, str | None]]) -> Resolver:
     return _resolvers[key]
 
 
-def resolved(df: DataFrame, key: str, lists: dict[str, list[tuple[str, str, str | None]]]) -> DataFrame:
-    """``field, id, account_id, value`` of each non-missing value of the columns named in ``lists``."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in lists])
-    long = df.select(F.col(key).cast("string").alias("id"), F.inline(F.filter(pairs, lambda x: ~is_missing(x["value"]))))
-    shared: dict[int, str] = {}
-    for field, entries in lists.items():
-        shared.setdefault(id(entries), field)
-    same = {field: shared[id(entries)] for field, entries in lists.items()}
-    sent = df.sparkSession.sparkContext.broadcast({same[f]: lists[f] for f in lists})
+def _values(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns])
+    return df.select(F.col(key).cast("string").alias("id"), F.inline(F.filter(pairs, lambda x: ~is_missing(x["value"]))))
+
+
+def resolved(df: DataFrame, key: str, lists: dict[str, DataFrame], most_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``field, id, account_id, value`` of each non-missing value of the columns named in ``lists``, held against their lists.
+
+    Lists are in the form of :func:`listed`; one that several columns share is given as the same object.
+    """
+    long = _values(df, key, list(lists))
+    names = {field: next(f for f in lists if lists[f] is lists[field]) for field in lists}
+    own = {name: lists[name] for name in dict.fromkeys(names.values())}
+    if sum(_size(entries) for entries in own.values()) > most_bytes:
+        return _against_shards(long, names, own)
+    sent = df.sparkSession.sparkContext.broadcast({name: [(r.k, r.n, r.a) for r in entries.sort("k", "n", "a").collect()] for name, entries in own.items()})
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = {name: _resolver(entries) for name, entries in sent.value.items()}
         for batch in batches:
-            batch["account_id"] = [made[same[f]].resolve(v) for f, v in zip(batch["field"], batch["value"], strict=True)]
+            batch["account_id"] = [made[names[f]].resolve(v) for f, v in zip(batch["field"], batch["value"], strict=True)]
             yield batch[["field", "id", "account_id", "value"]]
 
     return long.mapInPandas(each, "field string, id string, account_id string, value string")
+
+
+def _against_shards(long: DataFrame, names: dict[str, str], lists: dict[str, DataFrame]) -> DataFrame:
+    """The same over lists that are too large to send: every different value against every shard, the winners merged.
+
+    Values and shards are the two sides of a search of a stated query set against all entries, in blocks; a task holds
+    the entries of one shard at a time.
+    """
+    spark = long.sparkSession
+    folder, counts = scratch_path(spark, "entries"), {}
+    for name, entries in lists.items():
+        counts[name] = max(1, -(-entries.count() // SHARD_ENTRIES))
+        shard = F.pmod(F.xxhash64("k"), F.lit(counts[name])).cast("int")
+        entries.withColumn("shard", shard).repartition("shard").write.partitionBy("shard").parquet(f"{folder}/{name}")
+    listed_as = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    n_shards = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    values = long.select(F.element_at(listed_as, F.col("field")).alias("name"), "value").distinct()
+    asked = values.withColumn("shard", F.explode(F.sequence(F.lit(0), F.element_at(n_shards, F.col("name")) - 1)))
+    # By shard, so that a task meets few of them, and in blocks of values, so that none meets all values.
+    block = F.pmod(F.xxhash64("value"), F.lit(shuffle_width(spark)))
+    asked = asked.repartition("name", "shard", block).sortWithinPartitions("name", "shard")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import dataset
+
+        at, resolver = None, None
+        for batch in batches:
+            rows = []
+            for name, value, shard in zip(batch["name"], batch["value"], batch["shard"], strict=True):
+                if (name, shard) != at:
+                    system, path = file_system(f"{folder}/{name}/shard={shard}")
+                    there = system.get_file_info(path).type.name != "NotFound"
+                    entries = dataset.dataset(path, filesystem=system, format="parquet").to_table(columns=["k", "n", "a"]).to_pylist() if there else []
+                    at, resolver = (name, shard), Resolver(sorted(((r["k"], r["n"], r["a"]) for r in entries if r["k"]), key=str))
+                if found := resolver.winner(level(value)[0]):
+                    rows.append((name, value, found[0], found[1], [{"k": k, "form": f} for k, f in sorted(found[2])]))
+            yield pd.DataFrame(rows, columns=["name", "value", "step", "distance", "ids"])
+
+    won = asked.mapInPandas(search, "name string, value string, step int, distance int, ids array<struct<k:string,form:string>>")
+    best = won.groupBy("name", "value").agg(F.min(F.struct("step", "distance")).alias("best"), F.collect_list(F.struct("step", "distance", "ids")).alias("all"))
+    ids = F.flatten(F.transform(F.filter("all", lambda x: (x["step"] == F.col("best.step")) & (x["distance"] == F.col("best.distance"))), lambda x: x["ids"]))
+
+    def chosen(values: pd.Series, ids: pd.Series) -> pd.Series:
+        return pd.Series([pick({(x["k"], x["form"]) for x in near}, level(v)[1]) for v, near in zip(values, ids, strict=True)], dtype=object)
+
+    merged = best.select("name", "value", F.pandas_udf(chosen, "string")("value", ids).alias("account_id"))
+    keyed = long.withColumn("name", F.element_at(listed_as, F.col("field")))
+    return hot_left_join(keyed, merged, ["name", "value"], F.xxhash64("id")).select("field", "id", F.coalesce("account_id", F.lit("")).alias("account_id"), "value")

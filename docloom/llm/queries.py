@@ -66,8 +66,8 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
-    vendors = canonical.entries_of(table(spark, d, "vendor_mapping"), "id", "account_name", "aliases")
-    clients = canonical.entries_of(table(spark, d, "client_registry"), "salesforce_client_id", "client_name", "aliases")
+    vendors = canonical.listed(table(spark, d, "vendor_mapping"), "id", "account_name", "aliases")
+    clients = canonical.listed(table(spark, d, "client_registry"), "salesforce_client_id", "client_name", "aliases")
     return canonical.resolved(spread(table(spark, d, "search_results").select("id", "vendor", "vendor_name", "client")), "id", {"vendor": vendors, "vendor_name": vendors, "client": clients})
 
 

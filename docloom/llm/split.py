@@ -127,7 +127,8 @@ def _uri(path: str) -> str:
     return "file://" + path.removeprefix("file:")
 
 
-def _system(path: str):
+def file_system(path: str):
+    """The file system of a path, and the path there."""
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(_uri(path))
@@ -142,7 +143,7 @@ class _Reader:
     def read(self, path: str, first: int, last: int) -> bytes:
         if path != self.path:
             self.close()
-            system, at = _system(path)
+            system, at = file_system(path)
             self.path, self.file = path, system.open_input_file(at)
         return self.file.read_at(max(0, last - first), first)
 
@@ -240,7 +241,7 @@ def split_files(spark: SparkSession, paths: list[str], limit: int = LIMIT, overl
 
     def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = [system.get_file_info(at).size for system, at in map(_system, batch["path"])]
+            sizes = [system.get_file_info(at).size for system, at in map(file_system, batch["path"])]
             yield pd.DataFrame({"name": batch["path"], "path": batch["path"], "first": 0, "last": sizes})
 
     listed = spark.createDataFrame([(p,) for p in paths], "path string").mapInPandas(sized, "name string, path string, first bigint, last bigint")
@@ -257,7 +258,7 @@ def written_texts(df: DataFrame, key: str, text: str, limit: int = LIMIT) -> Dat
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path = f"{folder}/{uuid.uuid4().hex}"
-        system, at = _system(path)
+        system, at = file_system(path)
         file, size = None, 0
         for batch in batches:
             ends = []

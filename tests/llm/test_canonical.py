@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from docloom.llm.canonical import BKTree, Resolver, distance, entries_of, level, resolved, swaps
+from docloom.llm.canonical import BKTree, Resolver, distance, level, listed, resolved, swaps
 
 ENTRIES = [("1", "Véxdell Payments LLC", "FCSN|FCSN Holdings"), ("2", "Quophex Health Ltd.", None), ("3", "Quophex Optics S.A.", None), ("4", "The Marzan Risk and Audit B.V.", None), ("5", None, None), (None, "Lost Corp", None)]
 
@@ -57,12 +57,28 @@ def test_level():
 
 
 def test_rows(spark):
-    listed = spark.createDataFrame(ENTRIES, "id string, name string, al string")
-    entries = entries_of(listed, "id", "name", "al")
+    entries = listed(spark.createDataFrame(ENTRIES, "id string, name string, al string"), "id", "name", "al")
     df = spark.createDataFrame([("r", "vexdell payments", "N/A"), ("r", "vexdell payments", "N/A"), (None, None, "Acme"), ("s", "", " null ")], "id string, field string, account_id string")
-    got = sorted((r.field, r.id or "", r.account_id) for r in resolved(df, "id", {"field": entries, "account_id": []}).collect())
-    assert got == [("account_id", "", ""), ("field", "r", "1"), ("field", "r", "1")]
-    assert resolved(df.limit(0), "id", {"field": entries}).count() == 0
+    for bound in (64_000_000, -1):
+        got = sorted((r.field, r.id or "", r.account_id) for r in resolved(df, "id", {"field": entries, "account_id": entries.limit(0)}, bound).collect())
+        assert got == [("account_id", "", ""), ("field", "r", "1"), ("field", "r", "1")]
+        assert resolved(df.limit(0), "id", {"field": entries}, bound).count() == 0
+
+
+def test_lists_beyond_a_broadcast_give_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    stem = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9)))
+    entries = [(str(k), f"{stem()} {rng.choice(['Systems', 'Media', 'Bank'])} {rng.choice(['Ltd', 'Inc', 'AG'])}", rng.choice([None, stem()])) for k in range(150)]
+    asked = []
+    for _, name, alias in entries:
+        at = rng.randrange(1, len(name) - 1)
+        asked += [name, name[:at] + name[at + 1 :], name[:at] + name[at + 1] + name[at] + name[at + 2 :], name.split()[0], name[: at + 3], alias or "none such", " ".join(reversed(name.split()[:2]))]
+    want = {v: Resolver(entries).resolve(v) for v in asked}
+    monkeypatch.setattr("docloom.llm.canonical.SHARD_ENTRIES", 20)
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(asked)], "id string, v string")
+    got = {r.value: r.account_id for r in resolved(df, "id", {"v": listed(spark.createDataFrame(entries, "id string, name string, al string"), "id", "name", "al")}, 0).collect()}
+    assert got == {v: w for v, w in want.items() if v in got} and len(got) >= len(set(asked)) - 1
+    assert len(set(want.values())) > 100 and "" in want.values()
 
 
 def test_swaps_in_short_names_and_stems():

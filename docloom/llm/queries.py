@@ -23,6 +23,12 @@ def p2_new_bodies(spark: SparkSession, d: str) -> DataFrame:
     return emails.new_bodies(_mails(spark, d))
 
 
+def p2_rules(spark: SparkSession, d: str) -> DataFrame:
+    """How many lines each rule takes away; ``new`` for those that stay."""
+    lines = emails.ruled_lines(_mails(spark, d))
+    return lines.groupBy(F.coalesce("rule", F.lit("new")).alias("rule")).agg(F.count("*").alias("n_lines"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = neardup.similar_pairs(spread(table(spark, d, "parsed_content").select("content_id", "text")), "content_id", "text")
     return pairs.select(F.col("id_a").alias("content_id_a"), F.col("id_b").alias("content_id_b"))
@@ -159,7 +165,7 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_new_bodies, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p7_rebuilt, p8_containers, p8_checks,
+        p2_found, p2_new_bodies, p2_rules, p4_found, p4_groups, p4_classes, p4_group_hashes, p5_found, p5_redacted, p6_found, p6_unmatched, p7_found, p7_pieces, p7_rebuilt, p8_containers, p8_checks,
         p9_found, p9_spans, p9_items, p10_found, p10_classes, p10_shares, p10_spans, p10_levels,
     )
 }

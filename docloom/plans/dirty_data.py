@@ -12,19 +12,23 @@ from docloom.plans.data import table
 from docloom.session import spread
 
 
+DATES = ["deal_start_date", "contract_start", "contract_end"]
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    declared = ("source_tz", "source_locale")
-    dates = ["deal_start_date", "contract_start", "contract_end"]
-    results = spread(table(spark, d, "search_results").select("id", *dates, *declared))
-    files = spread(table(spark, d, "catalog_files").select("salesforce_content_version_id", "modified_time", *declared))
-    rows = to_instants(results, dates, "id", *declared).unionByName(to_instants(files, ["modified_time"], "salesforce_content_version_id", *declared))
+    taken = ["source_tz", "source_locale"]
+    results = spread(table(spark, d, "search_results").select("id", *DATES, *taken, "indexed_at", "load_seq"))
+    files = spread(table(spark, d, "catalog_files").select("salesforce_content_version_id", "modified_time", *taken, "discovered_at", "load_seq"))
+    rows = to_instants(results, DATES, "id", *taken, "indexed_at", "load_seq").unionByName(
+        to_instants(files, ["modified_time"], "salesforce_content_version_id", *taken, "discovered_at", "load_seq")
+    )
     return rows.distinct()
 
 
 def p1_zone_estimates(spark: SparkSession, d: str) -> DataFrame:
-    """The zone of each source, as if none were declared; sources are told apart by their declared zone."""
-    files = table(spark, d, "catalog_files").withColumn("source", F.coalesce("source_tz", F.lit("undeclared")))
-    return estimate_zones(files, "source", "modified_time", "discovered_at", "source_locale")
+    """The zones by source and month of the rows that declare none, over all four fields."""
+    results, files = (table(spark, d, name).where("source_tz is null") for name in ("search_results", "catalog_files"))
+    return estimate_zones(results, DATES, "indexed_at", "source_locale", "load_seq").unionByName(estimate_zones(files, ["modified_time"], "discovered_at", "source_locale", "load_seq"))
 
 
 REFERENCES = {

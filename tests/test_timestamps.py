@@ -72,16 +72,62 @@ def test_empty_nulls_and_other_columns(spark):
     assert [(r.field, r.record_id) for r in to_instants(df, ["v"], "id").collect()] == [("v", None)] * 2
 
 
-@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "Europe/Berlin"])
-def test_estimated_zone(spark, zone):
-    """Local times logged shortly before their ingestion, through a year with its changes of the clock."""
+UTC = dt.timezone.utc
+
+
+def logged(zones, n=300, every=29, lag=lambda k: k % 7):
+    """Local times logged shortly before their ingestion, in the zones of a history of equal parts: source, value, ingestion, sequence, instant."""
     rows = []
-    for k in range(300):
-        seen = dt.datetime(2022, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(hours=29 * k)
-        local = (seen - dt.timedelta(minutes=k % 7)).astimezone(zoneinfo.ZoneInfo(zone))
-        rows.append(("s", local.strftime("%Y-%m-%d %H:%M:%S"), seen))
-    rows += [("s", "2022-01-01T00:00:00Z", rows[0][2]), ("s", None, rows[0][2]), ("s", "TBD", None)]
-    df = spark.createDataFrame(rows, "src string, v string, seen timestamp")
-    found = estimate_zones(df, "src", "v", "seen").collect()
-    assert [(r.source, r.zone, r.violations) for r in found] == [("s", zone, 0)]
-    assert estimate_zones(df.limit(0), "src", "v", "seen").count() == 0
+    for k in range(n):
+        seen = dt.datetime(2022, 1, 1, tzinfo=UTC) + dt.timedelta(hours=every * k)
+        true = seen - dt.timedelta(minutes=lag(k))
+        local = true.astimezone(zoneinfo.ZoneInfo(zones[k * len(zones) // n]))
+        rows.append((f"r{k}", local.strftime("%Y-%m-%d %H:%M:%S"), seen, k, int(true.timestamp() * 1_000_000)))
+    return rows
+
+
+SCHEMA = "id string, v string, seen timestamp, seq long, want long"
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "Europe/Berlin", "UTC"])
+def test_undeclared_times_are_read_in_the_estimated_zone(spark, zone):
+    rows = logged([zone]) + [("z", "2022-01-01T00:00:00Z", None, 5, 1_640_995_200_000_000)]
+    df = spark.createDataFrame(rows + [("n", None, None, None, None), ("t", "TBD", rows[0][2], 1, None)], SCHEMA)
+    found = estimate_zones(df, ["v"], "seen").collect()
+    assert {r.zone for r in found} == {zone} and sum(r.violations for r in found) == 0 and sum(r.n_rows for r in found) == 300
+    got = {r.record_id: r.epoch_us for r in to_instants(df, ["v"], "id", ingested="seen").collect()}
+    # A wall time that occurs twice means the earlier instant, which here may be the wrong one.
+    assert len(got) == len(rows) and sum(got[r[0]] != r[4] for r in rows) <= 1
+    assert estimate_zones(df.limit(0), ["v"], "seen").count() == 0 and to_instants(df.limit(0), ["v"], "id", ingested="seen").count() == 0
+
+
+def test_a_source_that_moves(spark):
+    rows = logged(["Asia/Tokyo", "America/Chicago"], n=600)
+    df = spark.createDataFrame([(f"{g}{r[0]}", *r[1:], g) for g, part in (("a", rows), ("b", logged(["Europe/London"]))) for r in part], SCHEMA + ", g string")
+    found = estimate_zones(df, ["v"], "seen", group="g").collect()
+    zones = {}
+    for r in sorted(found, key=lambda r: r.month):
+        if r.month:
+            zones.setdefault(r.source, []).append(r.zone)
+    assert set(zones["v//b"]) == {"Europe/London"} and list(dict.fromkeys(zones["v//a"])) == ["Asia/Tokyo", "America/Chicago"]
+    got = {r.record_id: r.epoch_us for r in to_instants(df, ["v"], "id", ingested="seen", group="g").collect()}
+    wrong = sum(got["a" + r[0]] != r[4] for r in rows)
+    assert wrong <= 25  # the month of the move is read in one zone
+
+
+def test_declared_zones_and_lack_of_evidence(spark):
+    far = logged(["Asia/Tokyo"], lag=lambda k: 60 * (k * 7919 % 9_000 - 4_500))  # as many hours after as before
+    few = logged(["Asia/Tokyo"], n=3)
+    for rows in (far, few):
+        got = to_instants(spark.createDataFrame(rows, SCHEMA), ["v"], "id", ingested="seen").collect()
+        assert {r.epoch_us - 9 * 3_600_000_000 for r in got} == {r[4] for r in rows}
+    told = spark.createDataFrame([(*r, "America/Denver") for r in logged(["America/Denver"])] + [(f"u{r[0]}", *r[1:], None) for r in logged(["Asia/Tokyo"])], SCHEMA + ", tz string")
+    assert all(r.epoch_us == r.want for r in to_instants(told, ["v"], "id", "tz", ingested="seen").join(told.withColumnRenamed("id", "record_id"), "record_id").collect())
+
+
+def test_sequence_stands_for_ingestion(spark, monkeypatch):
+    monkeypatch.setattr("docloom.operators.timestamps.SEQUENCE_BLOCK", 10)
+    rows = logged(["America/New_York"], every=0.05)
+    df = spark.createDataFrame([(i, v, seen if k % 10 == 2 else None, k, want) for i, v, seen, k, want in rows], SCHEMA)
+    got = {r.record_id: r.epoch_us for r in to_instants(df, ["v"], "id", ingested="seen", sequence="seq").collect()}
+    assert got == {r[0]: r[4] for r in rows}

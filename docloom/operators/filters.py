@@ -135,6 +135,22 @@ def balanced_top(df: DataFrame, kind: str, size: str, path: str, per_kind: int)
     return ranked.where(F.col("place") <= per_kind)
 
 
+def seeded_order(key: Column, seed: int) -> Column:
+    """An order of keys that depends on the seed alone, the same in every engine that has MD5."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """The same ``n`` keys for a seed, whatever the partitioning."""
-    return df.select(key).distinct().orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """The same ``n`` keys for a seed, whatever the partitioning; null keys are not drawn."""
+    return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(seeded_order(F.col(key), seed), key).limit(n)
+
+
+def sample_per_group(df: DataFrame, group: str, key: str, most: int, seed: int) -> DataFrame:
+    """Up to ``most`` rows of each group, drawn by seed: a sample with a cap for each group."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy(seeded_order(F.col(key), seed), key))
+    return df.where(F.col(key).isNotNull()).withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+
+def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in order, as a listing is paged through."""
+    return df.orderBy(*order).offset(offset).limit(limit)

@@ -24,10 +24,15 @@ STEPS = (("email", EMAIL, "<<EMAIL>>"), ("phone", PHONE, "<<PHONE>>"), ("address
 
 
 def redact_contacts(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``redacted`` and ``n_email, n_phone, n_address``: each step works on what the one before left."""
+    """Adds ``redacted`` and ``n_email, n_phone, n_address``: each step works on what the one before left.
+
+    A step is one pass of its pattern; what it replaced is counted by its placeholders, less those that stood before.
+    """
     df = df.withColumn("redacted", F.col(text))
     for name, pattern, mark in STEPS:
-        df = df.withColumn(f"n_{name}", F.coalesce(F.regexp_count("redacted", F.lit(pattern)), F.lit(0))).withColumn("redacted", F.regexp_replace("redacted", pattern, mark))
+        marks = lambda c, mark=mark: F.regexp_count(c, F.lit(mark))
+        df = df.withColumn("_before", F.col("redacted")).withColumn("redacted", F.regexp_replace("_before", pattern, mark))
+        df = df.withColumn(f"n_{name}", F.coalesce(marks("redacted") - marks("_before"), F.lit(0))).drop("_before")
     return df
 
 
@@ -139,3 +144,36 @@ def apply_spans(text: Column, spans: Column, tokens: dict[str, str]) -> Column:
         return F.concat(F.left(done, s["start"].cast("int")), F.try_element_at(named, s["kind"]), F.substring(done, (s["stop"] + 1).cast("int"), F.length(done)))
 
     return F.aggregate(ordered, text, put)
+
+
+def redact_metadata(df: DataFrame, name: str, client: str, fields: list[str]) -> DataFrame:
+    """Metadata of a redacted document: the client's name becomes its placeholder, and goes from the other fields too, but for case."""
+    mark = F.lit("<<CLIENT>>")
+    known = F.trim(F.coalesce(F.col(client), F.lit(""))) != ""
+    quoted = F.concat(F.lit("(?i)\\Q"), F.trim(F.col(client)), F.lit("\\E"))
+    out = {f: F.when(known, F.regexp_replace(F.col(f), quoted, mark)).otherwise(F.col(f)) for f in fields}
+    return df.withColumns(out | {client: F.when(known, mark).otherwise(F.col(client)), name: F.when(known, F.regexp_replace(F.col(name), quoted, mark)).otherwise(F.col(name))})
+
+
+def organisation_clients(spans: DataFrame, clients: DataFrame, span: str, name: str) -> DataFrame:
+    """Organisation spans joined to the clients whose name holds them, or that they hold, whole word by whole word.
+
+    A containment in words is an equality of the first word of the one that is held with a word of the other, so the
+    join is by word and each pair is then compared once; the longest name wins.
+    """
+    words = lambda c: F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")), " ")
+    left = spans.select("*", words(F.col(span)).alias("_w")).withColumn("_key", F.explode(F.array_distinct("_w")))
+    right = clients.select(F.col(name).alias("_name"), words(F.col(name)).alias("_n")).where("_name is not null").withColumn("_key", F.explode(F.array_distinct("_n")))
+    padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    pairs = left.join(right.where("_key <> ''"), "_key").where(padded(F.col("_w")).contains(padded(F.col("_n"))) | padded(F.col("_n")).contains(padded(F.col("_w"))))
+    return pairs.groupBy(*spans.columns).agg(F.max_by("_name", F.struct(F.length("_name"), "_name")).alias("matched_client"))
+
+
+def global_spans(found: DataFrame, size: int = 50_000, overlap: int = 300) -> DataFrame:
+    """Spans ``key, window_no, start, stop, kind`` of windows as spans of whole texts, merged: ``key, spans``.
+
+    A span that two windows share is one; see :func:`merge_spans`.
+    """
+    at = F.col("window_no").cast("bigint") * (size - overlap)
+    spans = F.struct((F.col("start") + at).alias("start"), (F.col("stop") + at).alias("stop"), "kind")
+    return found.groupBy("key").agg(F.array_distinct(F.collect_list(spans)).alias("spans")).select("key", merge_spans(F.col("spans")).alias("spans"))

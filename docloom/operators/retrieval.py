@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,8 @@ def dense_topk(base: DataFrame, queries: DataFrame, key: str, vector: str, k: in
 
     Exact: every query against every row, in blocks of ``QUERY_BLOCK`` queries. A task keeps the best ``k`` of its
     rows for each query, so what is shuffled is bounded by tasks times queries times ``k``. Ties go to the
-    lower key. Rows and queries with a null vector or another dimension than the block's are left out.
+    lower key. Vectors of different dimensions are never compared: each query is held against the rows of its own. Null
+    vectors are left out.
     """
     kind = dict(base.dtypes)[key]
     rows = base.where(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).alias("vector"))
@@ -27,30 +29,18 @@ def dense_topk(base: DataFrame, queries: DataFrame, key: str, vector: str, k: in
     out = None
     for block in range(blocks):
         part = asked.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).sort("key").collect()
-        sizes = [len(r.vector) for r in part]
-        width = max(set(sizes), key=sizes.count) if sizes else 0
-        part = [r for r in part if len(r.vector) == width]
-        sent = base.sparkSession.sparkContext.broadcast(([r.key for r in part], np.array([r.vector for r in part], np.float64).reshape(len(part), width)))
-
-        def each(batches: Iterator[pd.DataFrame], sent=sent, width=width) -> Iterator[pd.DataFrame]:
-            names, matrix = sent.value
-            if cosine:
-                matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-            best_keys = np.empty((len(names), 0), object)
-            best = np.empty((len(names), 0))
+        widths = {w: [r for r in part if len(r.vector) == w] for w in {len(r.vector) for r in part}}
+        sent = base.sparkSession.sparkContext.broadcast({w: ([r.key for r in of], np.array([r.vector for r in of], np.float64).reshape(len(of), w)) for w, of in widths.items()})
+
+        def each(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            best = {w: _Best(names, matrix, cosine, k) for w, (names, matrix) in sent.value.items()}
             for batch in batches:
-                batch = batch[batch["vector"].map(len) == width]
-                if not len(batch) or not len(names):
-                    continue
-                v = np.array(batch["vector"].tolist(), np.float64)
-                if cosine:
-                    v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-                scores = np.concatenate([best, matrix @ v.T], axis=1)
-                keys = np.concatenate([best_keys, np.broadcast_to(batch["key"].to_numpy(object), (len(names), len(batch)))], axis=1)
-                order = np.stack([np.lexsort((keys[i], -scores[i]))[:k] for i in range(len(names))])
-                best, best_keys = np.take_along_axis(scores, order, 1), np.take_along_axis(keys, order, 1)
-            if best.size:
-                yield pd.DataFrame({"query_id": np.repeat(np.array(names, object), best.shape[1]), "key": best_keys.ravel(), "score": best.ravel()})
+                size = batch["vector"].map(len)
+                for w, kept in best.items():
+                    if len(own := batch[size == w]):
+                        kept.add(own["key"].to_numpy(object), np.array(own["vector"].tolist(), np.float64))
+            for kept in best.values():
+                yield kept.rows()
 
         found = rows.mapInPandas(each, f"query_id {kind}, key {kind}, score double")
         out = found if out is None else out.unionByName(found)
@@ -59,6 +49,27 @@ def dense_topk(base: DataFrame, queries: DataFrame, key: str, vector: str, k: in
     return ranked(out, ["query_id"], "score", "key", k).select("query_id", "rank", F.col("key").alias(key), "score")
 
 
+class _Best:
+    """The best ``k`` rows for each of some query vectors, as rows come."""
+
+    def __init__(self, names: list, matrix: np.ndarray, cosine: bool, k: int) -> None:
+        self.names, self.cosine, self.k = names, cosine, k
+        self.matrix = self._unit(matrix)
+        self.scores, self.keys = np.empty((len(names), 0)), np.empty((len(names), 0), object)
+
+    def _unit(self, v: np.ndarray) -> np.ndarray:
+        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300) if self.cosine else v
+
+    def add(self, keys: np.ndarray, vectors: np.ndarray) -> None:
+        scores = np.concatenate([self.scores, self.matrix @ self._unit(vectors).T], axis=1)
+        every = np.concatenate([self.keys, np.broadcast_to(keys, (len(self.names), len(keys)))], axis=1)
+        order = np.stack([np.lexsort((every[i], -scores[i]))[: self.k] for i in range(len(self.names))])
+        self.scores, self.keys = np.take_along_axis(scores, order, 1), np.take_along_axis(every, order, 1)
+
+    def rows(self) -> pd.DataFrame:
+        return pd.DataFrame({"query_id": np.repeat(np.array(self.names, object), self.scores.shape[1]), "key": self.keys.ravel(), "score": self.scores.ravel()})
+
+
 def ranked(df: DataFrame, by: list[str], score: str, tie: str, k: int) -> DataFrame:
     """The best ``k`` rows of each group with their rank from 1; Spark prunes to ``k`` per task before the shuffle."""
     order = Window.partitionBy(*by).orderBy(F.col(score).desc(), F.col(tie))
@@ -84,14 +95,109 @@ def sparse_topk(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return ranked(scores, ["query_id"], "score", "key", k).select("query_id", "rank", "key", "score")
 
 
+#: Documented bound: bytes of query terms that are sent to the executors.
+MAX_TERM_BYTES = 64_000_000
+
+
+def term_topk(base: DataFrame, key: str, text: str, queries: DataFrame, query_key: str, query_text: str, k: int) -> DataFrame:
+    """``query_id, rank, key, score``: the ``k`` texts that match each query best, by the product of their word counts.
+
+    A text is scored where it is read, against the words of all queries, which travel as one broadcast after a check of
+    their size; a task keeps the best ``k`` of its texts for each query. Ties go to the lower key; null keys are left out.
+    """
+    asked = term_vectors(queries.where(F.col(query_key).isNotNull()), query_key, query_text)
+    size = asked.agg(F.sum(F.octet_length("term") + 16)).first()[0] or 0
+    if size > MAX_TERM_BYTES:
+        raise ValueError(f"{size} bytes of query terms are not broadcast; ask them in several sets, or use sparse_topk")
+    listed: dict[str, list[tuple[int, int]]] = {}
+    names: dict = {}
+    for row in asked.sort("key", "term").collect():
+        listed.setdefault(row.term, []).append((names.setdefault(row.key, len(names)), row.weight))
+    lists = {term: (np.array([q for q, _ in x], np.int64), np.array([w for _, w in x], np.int64)) for term, x in listed.items()}
+    sent = base.sparkSession.sparkContext.broadcast((list(names), lists))
+    kinds = dict(base.dtypes)[key], dict(queries.dtypes)[query_key]
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, lists = sent.value
+        best: list[list] = [[] for _ in names]
+        for batch in batches:
+            for ident, words in zip(batch["key"], batch["words"], strict=True):
+                scores = np.zeros(len(names), np.int64)
+                for word, n in Counter(w for w in words if w in lists).items():
+                    at, weight = lists[word]
+                    scores[at] += n * weight
+                for q in np.flatnonzero(scores).tolist():
+                    best[q].append((-int(scores[q]), ident))
+                    if len(best[q]) > 4 * k:
+                        best[q] = sorted(best[q])[:k]
+        rows = [(names[q], ident, -score) for q, found in enumerate(best) for score, ident in sorted(found)[:k]]
+        yield pd.DataFrame(rows, columns=["query_id", "key", "score"])
+
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z0-9]+"), F.lit(0))
+    rows = base.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), words.alias("words"))
+    found = rows.mapInPandas(each, f"query_id {kinds[1]}, key {kinds[0]}, score bigint")
+    return ranked(found, ["query_id"], "score", "key", k).select("query_id", "rank", "key", "score")
+
+
 def hybrid(dense: DataFrame, sparse: DataFrame, alpha: float, k: int) -> DataFrame:
-    """Two scored lists ``query_id, key, score`` joined: ``alpha`` times dense plus the rest times sparse."""
+    """Two scored lists ``query_id, key, score`` joined: ``alpha`` times dense plus the rest times sparse, both as they are.
+
+    Weighting the two parts of a query vector and taking one inner product gives the same. A row that one list lacks has nothing from it.
+    """
     both = dense.select("query_id", "key", F.col("score").alias("d")).join(sparse.select("query_id", "key", F.col("score").alias("s")), ["query_id", "key"], "full")
     zero = F.lit(0.0)
     mixed = both.withColumn("score", F.coalesce("d", zero) * alpha + F.coalesce("s", zero) * (1 - alpha))
     return ranked(mixed, ["query_id"], "score", "key", k).select("query_id", "rank", "key", "score")
 
 
+def hybrid_topk(base: DataFrame, queries: DataFrame, key: str, vector: str, text: str, k: int, alpha: float = 0.6) -> DataFrame:
+    """``query_id, rank, key, score``: ``alpha`` times the inner product of vectors plus the rest times that of word counts.
+
+    Exact: a row is scored where it is read, against blocks of queries with the words of each; a task keeps its best ``k``.
+    Rows without a vector, or of another dimension, score by their words alone, and the other way round.
+    """
+    kind = dict(base.dtypes)[key]
+    words = lambda c: F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+    shape = lambda df: df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(vector).alias("vector"), words(text).alias("words"))
+    asked = shape(queries)
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    out = None
+    for block in range(blocks):
+        part = asked.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).sort("key").collect()
+        width = {len(r.vector) for r in part if r.vector is not None}
+        lists: dict[str, tuple[list, list]] = {}
+        for q, row in enumerate(part):
+            for word, n in Counter(row.words).items():
+                lists.setdefault(word, ([], []))[0].append(q)
+                lists[word][1].append(n)
+        vectors = {w: ([q for q, r in enumerate(part) if r.vector is not None and len(r.vector) == w], np.array([r.vector for r in part if r.vector is not None and len(r.vector) == w], np.float64)) for w in width}
+        sent = base.sparkSession.sparkContext.broadcast(([r.key for r in part], vectors, {t: (np.array(a), np.array(b)) for t, (a, b) in lists.items()}))
+
+        def each(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            names, vectors, lists = sent.value
+            keys, best = np.empty((len(names), 0), object), np.empty((len(names), 0))
+            for batch in batches:
+                scores = np.zeros((len(names), len(batch)))
+                for at, v in enumerate(batch["vector"]):
+                    if v is not None and len(v) in vectors:
+                        of, matrix = vectors[len(v)]
+                        scores[of, at] += alpha * (matrix @ np.asarray(v, np.float64))
+                for at, said in enumerate(batch["words"]):
+                    for word, n in Counter(w for w in said if w in lists).items():
+                        of, weight = lists[word]
+                        scores[of, at] += (1 - alpha) * n * weight
+                scores = np.concatenate([best, scores], axis=1)
+                every = np.concatenate([keys, np.broadcast_to(batch["key"].to_numpy(object), (len(names), len(batch)))], axis=1)
+                if len(names):
+                    order = np.stack([np.lexsort((every[i], -scores[i]))[:k] for i in range(len(names))])
+                    best, keys = np.take_along_axis(scores, order, 1), np.take_along_axis(every, order, 1)
+            yield pd.DataFrame({"query_id": np.repeat(np.array(names, object), best.shape[1]), "key": keys.ravel(), "score": best.ravel()})
+
+        found = shape(base).mapInPandas(each, f"query_id {kind}, key {kind}, score double")
+        out = found if out is None else out.unionByName(found)
+    return ranked(out, ["query_id"], "score", "key", k).select("query_id", "rank", F.col("key").alias(key), "score")
+
+
 def best_per_key(df: DataFrame, key: Column, score: str, seq: str, columns: list[str]) -> DataFrame:
     """The best row of each key, the first by ``seq`` where scores tie; a maximum of structs, combined before the shuffle."""
     row = F.struct(F.col(score).alias("score"), (-F.col(seq)).alias("first"), *[F.col(c).alias(f"c_{c}") for c in columns])

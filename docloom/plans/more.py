@@ -12,6 +12,7 @@ from docloom.operators import enrich, filters, quality, redaction, retrieval
 from docloom.operators.embedding import sampled_pages
 from docloom.plans.data import table
 from docloom.plans.records import _MISS, _clean, _seconds
+from docloom.plans.texts import _PHONE, _q
 from docloom.streaming.feeds import latest_status, pending
 
 
@@ -153,6 +154,8 @@ ORACLE = {
     "page_samples": """WITH p AS (SELECT content_id, page_count AS n, greatest(page_count // 2 - 2, 1) AS m FROM parsed_content WHERE page_count > 0)
         SELECT content_id, array_to_string(list_sort(list_distinct(range(1, least(greatest(n // 3, 1), 10) + 1) || range(m, least(m + 4, n) + 1) || range(greatest(n - least(greatest(n // 4, 1), 5) + 1, 1), n + 1))), ',') AS pages FROM p""",
     "redaction_status": "SELECT salesforce_content_version_id, redaction_id, NOT coalesce(success, false) AS is_open FROM redaction_results WHERE salesforce_content_version_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY salesforce_content_version_id ORDER BY processed_at DESC, redaction_id DESC) = 1",
+    "redaction_failures": f"""SELECT kind, count(*) AS n_texts FROM (SELECT unnest([CASE WHEN regexp_matches(redacted_text, {_q(redaction.EMAIL)}) THEN 'email' END,
+        CASE WHEN regexp_matches(redacted_text, {_q(_PHONE)}) THEN 'phone' END]) AS kind FROM redaction_results WHERE redacted_text IS NOT NULL) WHERE kind IS NOT NULL GROUP BY 1""",
     "side_by_side": f"""WITH l AS (SELECT document_path AS path, sum(length(text)) AS lc, count(DISTINCT chunk_index) AS n FROM search_results WHERE document_path IS NOT NULL AND text IS NOT NULL GROUP BY 1),
         r AS (SELECT path, max(length(text)) AS rc, max(CASE WHEN length(text) > 0 THEN round({_FAR}, 2) ELSE 0.0 END) AS na FROM parsed_content GROUP BY 1)
         SELECT coalesce(l.path, r.path) AS path, CASE WHEN lc IS NULL THEN 'right_only' WHEN rc IS NULL THEN 'left_only' ELSE 'both' END AS status, n AS n_chunks, (lc - rc)::BIGINT AS char_delta, na::DOUBLE AS right_non_ascii FROM l FULL JOIN r ON l.path = r.path""",

@@ -63,6 +63,18 @@ def sampled_deals(spark: SparkSession, d: str) -> DataFrame:
     return filters.seeded_sample(table(spark, d, "deals"), "id", 25, 42)
 
 
+def sampled_files(spark: SparkSession, d: str) -> DataFrame:
+    """Two files of each sampled deal."""
+    files = table(spark, d, "catalog_files").where(~is_missing(F.col("salesforce_deal_id"))).select(F.trim("salesforce_deal_id").alias("id"), "load_seq")
+    drawn = files.join(sampled_deals(spark, d), "id", "left_semi")
+    return filters.sample_per_group(drawn, "id", "load_seq", 2, 42)
+
+
+def paged_files(spark: SparkSession, d: str) -> DataFrame:
+    """The third page of the catalog listing."""
+    return filters.page(table(spark, d, "catalog_files").select("load_seq", "path"), ["path", "load_seq"], 100, 50)
+
+
 def _last_deals(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "deals").select("id", "exported_at", "load_seq", "name", "client__c", "primary_deal_vendor__c", "total_proposed_amount__c", "total_final_amount__c")
     return filters.latest_rows(rows, ["id"], ["exported_at", "load_seq"])
@@ -230,7 +242,7 @@ def source_confidence(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        clean_fields, date_seconds, deal_amounts, catalog_reasons, catalog_kept, filtered_results, latest_files, live_deals, largest_files, sampled_deals, file_deals,
+        clean_fields, date_seconds, deal_amounts, catalog_reasons, catalog_kept, filtered_results, latest_files, live_deals, largest_files, sampled_deals, sampled_files, paged_files, file_deals,
         mapping_rates, deal_savings, first_files, matched_files, vendor_backfill, short_id_clients, deal_overlay, missing_refs, gapped_files, rebuilt_files, coverage,
         coverage_samples, vendor_presence, field_audit, type_counts, label_counts, year_counts, year_range, file_sizes, length_percentiles, parser_scores,
         parser_outcomes, deal_file_sets, best_results, top_by_source, source_confidence,
@@ -295,7 +307,12 @@ def _audit(c: str) -> str:
 
 _year = "CASE WHEN regexp_matches(left(modified_time, 19), '^\\d{4}-\\d{1,2}-\\d{1,2}([T ]\\d{1,2}:\\d{1,2}:\\d{1,2})?$') THEN year(try_cast(regexp_extract(left(modified_time, 19), '^(\\d{4}-\\d{1,2}-\\d{1,2})', 1) AS DATE)) END"
 
+_DRAWN = "SELECT id FROM (SELECT DISTINCT id FROM deals WHERE id IS NOT NULL) ORDER BY md5('42:' || id), id LIMIT 25"
 ORACLE = {
+    "sampled_deals": _DRAWN,
+    "sampled_files": f"""WITH d AS ({_DRAWN}), f AS (SELECT trim(salesforce_deal_id) AS id, load_seq FROM catalog_files WHERE salesforce_deal_id IS NOT NULL AND lower(trim(salesforce_deal_id)) NOT IN {_MISS})
+        SELECT id, load_seq FROM f SEMI JOIN d USING (id) QUALIFY row_number() OVER (PARTITION BY id ORDER BY md5('42:' || load_seq::VARCHAR), load_seq) <= 2""",
+    "paged_files": "SELECT load_seq, path FROM catalog_files ORDER BY path, load_seq LIMIT 50 OFFSET 100",
     "clean_fields": f"SELECT load_seq, {_clean('deal_status')} AS deal_status, left({_clean('vendor_name')}, 100) AS vendor_name, coalesce(try_cast(contract_term AS DOUBLE), 0.0) AS term, coalesce(final_amount, 0.0) AS final_amount FROM (SELECT * REPLACE (CASE WHEN isnan(try_cast(contract_term AS DOUBLE)) THEN NULL ELSE contract_term END AS contract_term) FROM search_results)",
     "date_seconds": "SELECT load_seq, " + ", ".join(f"{_seconds(c)} AS {c}_ts" for c in ("deal_start_date", "contract_start", "contract_end")) + " FROM search_results",
     "deal_amounts": f"SELECT load_seq, {_money('total_proposed_amount__c')} AS proposed, {_money('total_final_amount__c')} AS final FROM deals",

@@ -189,7 +189,19 @@ g AS (SELECT *, ((CASE WHEN year IS NULL THEN 0 ELSE 2 END) + (CASE WHEN week_nu
 """
 _tail = "CASE WHEN contains({c}, '.') THEN '.' || lower(trim(string_split(trim({c}), '.')[-1])) END"
 
+# Contacts step by step. DuckDB's patterns have no look-behind: what may stand before a telephone number is matched and put back.
+_AHEAD = r"(^|^\.|[^\d.]|[^\d]\.)"
+_PHONE = _AHEAD + redaction.PHONE.removeprefix(r"(?<!\d)(?<!\d\.)")
+_contacts = f"""WITH a AS (SELECT source, text, regexp_replace(text, {_q(redaction.EMAIL)}, '<<EMAIL>>', 'g') AS t1 FROM documents),
+    b AS (SELECT *, regexp_replace(t1, {_q(_PHONE)}, '\\1<<PHONE>>', 'g') AS t2 FROM a), c AS (SELECT *, regexp_replace(t2, {_q(redaction.ADDRESS)}, '<<ADDRESS>>', 'g') AS t3 FROM b)"""
+
+
 ORACLE = {
+    "contact_redaction": _contacts + f""" SELECT coalesce(source, 'none') AS source, count(*) AS n_docs, sum(coalesce(len(regexp_extract_all(text, {_q(redaction.EMAIL)})), 0))::BIGINT AS n_email,
+        sum(coalesce(len(regexp_extract_all(t1, {_q(_PHONE)})), 0))::BIGINT AS n_phone, sum(coalesce(len(regexp_extract_all(t2, {_q(redaction.ADDRESS)})), 0))::BIGINT AS n_address,
+        count(*) FILTER (regexp_matches(t3, {_q(redaction.EMAIL)}) OR regexp_matches(t3, {_q(_PHONE)})) AS n_failed FROM c GROUP BY 1""",
+    "stored_text": "SELECT doc_id, md5(left(text, 37888)) AS text_md5 FROM documents WHERE strlen(text) = length(text) OR strlen(text) <= 37888 OR text IS NULL UNION ALL "
+    "SELECT doc_id, md5(list_aggregate(list_filter(list_transform(range(1, 37889), lambda i: left(text, i)), lambda t: strlen(t) <= 37888), 'max')) FROM documents WHERE strlen(text) > length(text) AND strlen(text) > 37888",
     "text_counts": r"SELECT doc_id, coalesce(len(regexp_extract_all(text, '\S+')), 0) AS n_words, length(text) AS n_chars, coalesce(len(string_split(text, chr(10))), 0) AS n_lines, strlen(text) AS n_bytes FROM documents",
     "text_entities": f"SELECT doc_id, {_distinct_sql(T.AMOUNTS)} AS n_amounts, {_distinct_sql(T.DATES)} AS n_dates, {_distinct_sql((T.EMAIL,))} AS n_emails, {_distinct_sql((T.PHONE,))} AS n_phones, concat_ws('|', {_terms}) AS contract_terms FROM documents",
     "text_depth": "SELECT coalesce(source, 'none') AS source, count(*) AS n_docs, " + ", ".join(f"sum({s}) AS sum_{n}" for n, s in _depth.items())

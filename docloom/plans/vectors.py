@@ -47,9 +47,8 @@ def vector_faults(spark: SparkSession, d: str) -> DataFrame:
 
 def term_top(spark: SparkSession, d: str) -> DataFrame:
     """The documents that match each evaluation item best by their words."""
-    items = retrieval.term_vectors(table(spark, d, "eval_items"), "item_id", "item_text")
-    docs = retrieval.term_vectors(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", items)
-    return retrieval.sparse_topk(docs, items, 10)
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return retrieval.term_topk(docs, "doc_id", "text", table(spark, d, "eval_items"), "item_id", "item_text", 10)
 
 
 QUERIES = {f.__name__: f for f in (dense_top, cosine_top, list_agreement, vector_profiles, vector_faults, term_top)}

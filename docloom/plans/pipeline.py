@@ -14,6 +14,7 @@ from docloom.functions.text import file_class, query_kind
 from docloom.operators import chunking, embedding, filters, redaction, retrieval
 from docloom.sources.files import FileSource
 from docloom.sources.parsers import parse_contents
+from docloom.session import children, remove, rename
 from docloom.sources.sinks import write_table
 
 
@@ -77,16 +78,21 @@ def process(catalog: DataFrame, contents: DataFrame, rules: ProcessRules, model:
 
 
 def upsert_index(spark: SparkSession, path: str, fresh: DataFrame) -> None:
-    """Documents of a run put into a stored index: their old chunks go, whatever their number was."""
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    """Documents of a run put into a stored index: their old chunks go, whatever their number was.
+
+    The new index is written aside and folders are renamed then, so that a whole index stands at every moment under one name
+    or the other; what a run that broke off left behind is put right first.
+    """
+    if not children(spark, path) and children(spark, f"{path}.old"):
+        rename(spark, f"{path}.old", path)
+    if not children(spark, path):
         return write_table(fresh, path)
-    # Written aside first: a table cannot be overwritten while it is read.
+    old = spark.read.parquet(path)
     write_table(retrieval.replace_documents(old, fresh.select(*old.columns), "path"), f"{path}.new")
-    return write_table(spark.read.parquet(f"{path}.new"), path)
+    remove(spark, f"{path}.old")
+    rename(spark, path, f"{path}.old")
+    rename(spark, f"{path}.new", path)
+    return remove(spark, f"{path}.old")
 
 
 def search(
@@ -103,16 +109,7 @@ def search(
     rows = index.where(filters.compile_filter(where))
 
     def ask(text: str) -> DataFrame:
-        """Every row that passes the filter is scored, in the JVM; only the best are sorted."""
-        vector = F.array(*[F.lit(float(x)) for x in model.embed([text])[0]])
-        products = F.zip_with(F.col("vector"), vector, lambda a, b: a.cast("double") * b)
-        total = F.aggregate(products, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
-        dense = rows.select(F.lit("q").alias("query_id"), F.col("chunk_id").alias("key"), total.alias("score"))
-        asked = retrieval.term_vectors(spark.createDataFrame([("q", text)], "id string, t string"), "id", "t").select(F.col("key").alias("query_id"), "term", F.col("weight").alias("_q"))
-        words = retrieval.term_vectors(rows, "chunk_id", "chunk", asked).join(asked, "term").groupBy("query_id", "key").agg(F.sum(F.col("weight") * F.col("_q")).alias("score"))
-        best = words.agg(F.max("score"))
-        sparse = words.withColumn("score", F.col("score") / F.lit(best.first()[0] or 1))
-        return retrieval.hybrid(dense, sparse, alpha, k)
+        return _asked(rows, [("q", text)], model, k, alpha)
 
     found = ask(query)
     if mode != "traditional":
@@ -134,15 +131,22 @@ def search(
     return retrieval.ranked(once.withColumn("query_id", F.lit("q")), ["query_id"], "score", "chunk_id", k).drop("query_id")
 
 
+def _asked(rows: DataFrame, queries: list[tuple[str, str]], model: embedding.Embedder, k: int, alpha: float) -> DataFrame:
+    """All queries in one pass over the rows: vectors and words of every row are held against all of them."""
+    spark = rows.sparkSession
+    vectors = model.embed([text for _, text in queries]).tolist()
+    asked = spark.createDataFrame([(q, text, v) for (q, text), v in zip(queries, vectors, strict=True)], "chunk_id string, chunk string, vector array<float>")
+    return retrieval.hybrid_topk(rows.select("chunk_id", "chunk", "vector"), asked, "chunk_id", "vector", "chunk", k, alpha).withColumnRenamed("chunk_id", "key")
+
+
 def compare(left: DataFrame, right: DataFrame, queries: list[str], model: embedding.Embedder, k: int = 20, alpha: float = 0.6) -> DataFrame:
-    """Per query, how far the lists from two indexes agree; a row for each query."""
+    """Per query, how far the lists from two indexes agree; a row for each query. Each index is read once for all queries."""
     lists = []
     for index in (left, right):
-        parts = [search(index, q, model, k, alpha=alpha).select(F.lit(q).alias("query_id"), "rank", F.col("path").alias("key"), "score") for q in queries]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        lists.append(whole)
+        found = _asked(index, [(q, q) for q in dict.fromkeys(queries)], model, k, alpha)
+        named = found.join(index.select(F.col("chunk_id").alias("key"), "path"), "key")
+        best = named.groupBy("query_id", "path").agg(F.max("score").alias("score"))
+        lists.append(retrieval.ranked(best, ["query_id"], "score", "path", k).select("query_id", "rank", F.col("path").alias("key"), "score"))
     return retrieval.compare_lists(lists[0], lists[1], "key")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions.nulls import is_true, money, present
 from docloom.functions.paths import extension
 from docloom.operators.enrich import first_link, friendly_id, map_to_deals, resolve_paths, savings_percent, short_key
+from docloom.operators.filters import latest_rows
 from docloom.sources.files import SUPPORTED, id_names, pick, read_export
 
 # Names of file types in an export and their extensions.
@@ -70,12 +71,15 @@ class ExportBundle:
             F.trim(pick(d, "Id")).alias("_id"), pick(d, "Name").alias("deal_name"), pick(d, "Subject__c").alias("deal_subject"), pick(d, "Status__c").alias("deal_status"),
             pick(d, "Client__c").alias("client_id"), pick(d, "Primary_Deal_Vendor__c").alias("vendor_id"), money(pick(d, "Total_Proposed_Amount__c")).alias("proposed_amount"),
             money(pick(d, "Total_Final_Amount__c")).alias("final_amount"), savings_percent(pick(d, "Total_Proposed_Amount__c"), pick(d, "Total_Final_Amount__c")).alias("savings_percentage"),
-        ).dropDuplicates(["_id"])
+            F.coalesce(pick(d, "ExportedAt", "LastModifiedDate", "CreatedDate"), F.lit("")).alias("_at"), F.monotonically_increasing_id().alias("_seq"),
+        )
+        # Of a deal that was exported again, the latest row stands; where times do not tell, the one that is listed last.
+        deals = latest_rows(deals, ["_id"], ["_at", "_seq"]).drop("_at", "_seq")
         rows = map_to_deals(rows, "deal_id", deals, "_id", [c for c in deals.columns if c != "_id"])
         for side, names in (("client", self.clients), ("vendor", self.vendors)):
             rows = rows.withColumn(f"{side}_name", friendly_id(side.capitalize(), F.col(f"{side}_id")))
             if names is not None:
-                known = id_names(names).select(short_key(F.col("id")).alias("_k"), F.col("name").alias("_n")).dropDuplicates(["_k"])
+                known = id_names(names).select(short_key(F.col("id")).alias("_k"), F.col("name").alias("_n")).where("_k is not null").groupBy("_k").agg(F.min("_n").alias("_n"))
                 rows = rows.join(known, short_key(F.col(f"{side}_id")) == F.col("_k"), "left").withColumn(f"{side}_name", F.coalesce("_n", f"{side}_name")).drop("_k", "_n")
         if self.listing is not None:
             rows = rows.join(resolve_paths(rows.select("cv_id", "document_id", "deal_id"), self.listing).select("cv_id", "stored_path"), "cv_id", "left")

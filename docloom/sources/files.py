@@ -6,6 +6,7 @@ from abc import ABC, abstractmethod
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docloom.functions.paths import extension
 from docloom.session import numbered
@@ -25,6 +26,17 @@ class FileSource(ABC):
     def contents(self) -> DataFrame:
         """``path, content`` of the files."""
 
+    def exists(self, path: str) -> bool:
+        return self.list_documents().where(F.col("path") == path).limit(1).count() > 0
+
+    def reachable(self) -> bool:
+        """Whether the place can be listed at all."""
+        try:
+            self.list_documents().limit(1).count()
+        except Exception:
+            return False
+        return True
+
     def info(self) -> DataFrame:
         """``file_type, n_files, total_size``."""
         return self.list_documents().groupBy("file_type").agg(F.count("*").alias("n_files"), F.sum("size").alias("total_size"))
@@ -62,10 +74,37 @@ class FolderSource(FileSource):
         return self._files().select("path", "content")
 
 
-def read_export(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """A CSV of an export, all columns text: quoted line ends are kept, a byte order mark and blanks in headers are not."""
-    raw = spark.read.options(header=True, multiLine=True, escape='"', encoding=encoding, mode="DROPMALFORMED").csv(path)
-    return raw.toDF(*[c.lstrip("﻿").strip() for c in raw.columns])
+def read_export(spark: SparkSession, path: str, encoding: str | None = None, lines: bool = False) -> DataFrame:
+    """A CSV of an export, all columns text: quoted line ends are kept, a byte order mark and blanks in headers are not.
+
+    Without ``encoding`` a file is read as UTF-8, or where its bytes are none, as Windows Latin. A row with too many or too few fields
+    stays, what is too much cut and what is missing null, and is told by ``_corrupt``, the row as it stood; see :func:`export_faults`.
+    ``lines`` says that no field holds a line end: then a file is read by many tasks.
+    """
+    if encoding is None:
+        encoding = "utf-8" if _is_utf8(spark, path) else "windows-1252"
+    # Spark reads Latin 1, which differs from Windows Latin in the places of control characters.
+    windows, encoding = encoding.lower() in ("windows-1252", "cp1252"), "iso-8859-1" if encoding.lower() in ("windows-1252", "cp1252") else encoding
+    options = {"header": True, "multiLine": not lines, "escape": '"', "encoding": encoding}
+    names = spark.read.options(**options).csv(path).columns
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    raw = spark.read.schema(f"{schema}, _corrupt string").options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt").csv(path)
+    if windows:
+        other = [(chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+        raw = raw.select(*[F.translate(F.col(f"`{c}`"), "".join(a for a, _ in other), "".join(b for _, b in other)).alias(c) for c in raw.columns])
+    return raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns])
+
+
+def _is_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether all bytes of the files are UTF-8; looked at by the tasks, line by line."""
+    lines = spark.read.format("text").load(path).select(F.col("value").cast("binary").alias("b"))
+    return lines.where(~F.is_valid_utf8(F.col("b").cast("string"))).limit(1).count() == 0
+
+
+def export_faults(export: DataFrame) -> DataFrame:
+    """One row: how many rows an export has, and how many of them have another number of fields than its header."""
+    kept = export.cache()
+    return kept.agg(F.count("*").alias("n_rows"), F.count("_corrupt").alias("n_faulty"))
 
 
 def pick(df: DataFrame, *names: str) -> Column:
@@ -92,5 +131,9 @@ CATALOG = (
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each document of a nested JSON catalog, its groups as structs."""
-    return spark.read.schema(CATALOG).option("multiLine", "true").json(path).select(F.inline("documents"))
+    """One row for each document of a nested JSON catalog, its groups as structs; a list of documents at the top is read as well."""
+    item = CATALOG.removeprefix("documents array<").removesuffix(">")
+    both = StructType.fromDDL(f"{CATALOG}, {item.removeprefix('struct<').removesuffix('>')}")
+    read = spark.read.schema(both).option("multiLine", "true").json(path)
+    names = [f.name for f in both.fields if f.name != "documents"]
+    return read.select(F.inline(F.when(F.col("documents").isNotNull(), F.col("documents")).otherwise(F.array(F.struct(*names)))))

@@ -1,7 +1,8 @@
 """Contents of files to text, by extension; what the standard library can read, with room for more.
 
-``register`` adds a parser for an extension (PDF, images and the like need libraries of their own). A file
-without a parser, or one that cannot be read, gives a row with an error and no text; it never stops a job.
+``register`` adds a parser for an extension (images need a recogniser of their own). A file
+without a parser, or one that cannot be read, gives a row with an error and no text; it never stops a job. Files are read
+whole unless ``limits`` are asked for; the modes of :data:`MODES` are named sets of them.
 """
 
 from __future__ import annotations
@@ -12,13 +13,28 @@ import io
 import re
 import zipfile
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from email import message_from_bytes, policy
 from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-MAX_ROWS = 1_000
+from docloom.sources import ole, pdf
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Rows of a table, pages of a file and characters of a cell that are kept at most; None keeps all."""
+
+    rows: int | None = None
+    pages: int | None = None
+    cell: int | None = None
+
+
+# Named limits, from everything to samples.
+MODES = {"full": Limits(), "conservative": Limits(10_000, 1_000, 5_000), "balanced": Limits(1_000, 200, 1_000), "aggressive": Limits(200, 50, 200)}
+_limits = Limits()
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -37,13 +53,21 @@ def decode(data: bytes) -> str:
     return data.decode("latin-1")
 
 
+def use_limits(limits: Limits) -> None:
+    """Set the limits of this process; a task does so before it parses."""
+    global _limits
+    _limits = limits
+
+
 def table(rows: list[list[str]], name: str) -> str:
-    """The titled form: repeated neighbours blanked, the first rows only, with a note of how many more there are."""
+    """The titled form: repeated neighbours blanked; beyond the limit of rows a note of how many more there are."""
+    limits = _limits
     rows = [r for r in rows if any(c.strip() for c in r)]
     if not rows:
         return ""
-    lines = [" | ".join("" if k and c == r[k - 1] else c.strip() for k, c in enumerate(r)) for r in rows[: MAX_ROWS + 1]]
-    more = len(rows) - 1 - MAX_ROWS
+    kept = rows if limits.rows is None else rows[: limits.rows + 1]
+    lines = [" | ".join("" if k and c == r[k - 1] else c.strip()[: limits.cell] for k, c in enumerate(r)) for r in kept]
+    more = len(rows) - len(kept)
     note = [f"... and {more} more rows"] if more > 0 else []
     return "\n".join([f"=== {name} ===", lines[0], "-" * max(10, min(100, len(lines[0]))), *lines[1:], *note])
 
@@ -131,14 +155,41 @@ def mail(data: bytes) -> Parsed:
     text = body.get_content() if body is not None else ""
     if body is not None and body.get_content_subtype() == "html":
         text = markup(text.encode())[0]
-    head = [f"{k}: {str(message[k])[:n]}" for k, n in (("From", 200), ("To", 300), ("Subject", 200), ("Date", 100)) if message[k]]
+    head = [f"{k}: {message[k]}" for k in ("From", "To", "Subject", "Date") if message[k]]
     named = [a.get_filename() or "unnamed" for a in message.iter_attachments()]
     return "\n".join([*head, *(["Attachments: " + "; ".join(named)] if named else []), "", text.strip()]), 0
 
 
+def stored_mail(data: bytes) -> Parsed:
+    """Head lines and body of a mail as a mail program stores it."""
+    m = ole.mail_fields(data)
+    sender = f"{m['sender']} <{m['address']}>" if m["address"] and m["address"] != m["sender"] else m["sender"]
+    head = [f"{k}: {v}" for k, v in (("From", sender), ("To", m["to"]), ("Subject", m["subject"]), ("Date", m["date"])) if v]
+    body = m["body"] or (markup(m["html"].encode())[0] if m["html"] else "")
+    named = ["Attachments: " + "; ".join(m["attachments"])] if m["attachments"] else []
+    return "\n".join([*head, *named, "", body.replace("\r\n", "\n").strip()]), 0
+
+
+def mail_summary(data: bytes) -> dict[str, object]:
+    """What a catalog holds of a stored mail, at the lengths it holds."""
+    m = ole.mail_fields(data)
+    return {"email_sender": m["sender"][:200], "email_recipients": m["to"][:300], "email_subject": m["subject"][:200], "email_date": m["date"], "email_has_attachments": bool(m["attachments"]), "email_body_preview": m["body"][:150]}
+
+
+def old_workbook(data: bytes) -> Parsed:
+    made = [t for name, rows in ole.workbook_sheets(data) if (t := table(rows, name))]
+    return "\n\n".join(made), len(made)
+
+
+def portable(data: bytes) -> Parsed:
+    return pdf.parsed(data, table, _limits.pages)
+
+
 PARSERS: dict[str, tuple[str, Callable[[bytes], Parsed]]] = {
     ".txt": ("plain", plain), ".md": ("plain", plain), ".html": ("markup", markup), ".htm": ("markup", markup), ".csv": ("separated", separated),
     ".docx": ("word", word), ".xlsx": ("workbook", workbook), ".pptx": ("slides", slides), ".eml": ("mail", mail),
+    ".pdf": ("portable", portable), ".msg": ("stored_mail", stored_mail), ".doc": ("old_word", lambda data: (ole.document_text(data), 0)), ".xls": ("old_workbook", old_workbook),
+    ".ppt": ("old_slides", lambda data: (ole.slide_text(data), 0)),
 }
 
 
@@ -146,11 +197,12 @@ def register(extension: str, name: str, parser: Callable[[bytes], Parsed]) -> No
     PARSERS[extension.lower()] = (name, parser)
 
 
-def parse_contents(contents: DataFrame, kinds: dict[str, tuple[str, Callable[[bytes], Parsed]]] | None = None) -> DataFrame:
+def parse_contents(contents: DataFrame, kinds: dict[str, tuple[str, Callable[[bytes], Parsed]]] | None = None, limits: Limits = Limits()) -> DataFrame:
     """``path, text, n_tables, parser, error`` of rows ``path, content``; no shuffle, a file at a time."""
     known = dict(kinds or PARSERS)
 
     def one(path: str, data: bytes | None) -> tuple:
+        use_limits(limits)
         name, parser = known.get("." + path.rsplit(".", 1)[-1].lower(), (None, None))
         if parser is None:
             return path, None, 0, None, "unsupported file type"

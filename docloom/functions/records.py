@@ -18,6 +18,36 @@ PARSER_LABELS = {
 }
 
 
+# The fields that an index stores, in groups by kind, with the longest text of each (None: as it is).
+STORED_TEXTS = {
+    "file_name": 200, "file_type": None, "deal_creation_date": None, "deal_id": None, "salesforce_deal_id": None, "salesforce_client_id": None, "salesforce_vendor_id": None, "savings_achieved": 200,
+    "contract_term": 100, "contract_start": None, "contract_end": None, "client_name": 100, "vendor_name": 100, "deal_status": None, "deal_reason": 50, "report_type": 100, "project_type": 50,
+    "competition": 10, "npi_analyst": 50, "dual_multi_sourcing": 10, "time_pressure": 20, "advisor_network_used": 10, "text": 37_000,
+}
+STORED_NUMBERS = ("final_amount", "savings_1yr", "savings_3yr", "fixed_savings", "savings_target_full_term")
+STORED_DATES = ("deal_creation_date", "contract_start", "contract_end")
+
+
+def stored_fields(df: DataFrame, names: dict[str, str] | None = None, errors: str | None = None) -> DataFrame:
+    """All 31 fields that an index stores, and three dates also as seconds where they can be read.
+
+    ``names`` maps a field to the column that holds it, where that has another name; a field without a column is empty, zero or false.
+    ``errors`` is an array column of parsing errors.
+    """
+    have = set(df.columns)
+    source = lambda f: (names or {}).get(f, f)
+    text = lambda f: clean_text(F.col(f"`{source(f)}`").cast("string")) if source(f) in have else F.lit("")
+    number = lambda f: clean_number(F.col(f"`{source(f)}`")) if source(f) in have else F.lit(0.0)
+    out = [(F.left(text(f), F.lit(cap)) if cap else text(f)).alias(f) for f, cap in STORED_TEXTS.items()]
+    out += [number(f).alias(f) for f in STORED_NUMBERS]
+    out.append(number("chunk_index").cast("int").alias("chunk_index"))
+    out.append((F.coalesce(F.size(errors) > 0, F.lit(False)) if errors else F.lit(False)).alias("has_parsing_errors"))
+    flag = source("email_has_attachments")
+    out.append((F.coalesce(F.col(f"`{flag}`").cast("boolean"), F.lit(False)) if flag in have else F.lit(False)).alias("email_has_attachments"))
+    out += [(epoch_seconds(F.col(f"`{source(f)}`").cast("string")) if source(f) in have else F.lit(None).cast("long")).alias(f"{f}_ts") for f in STORED_DATES]
+    return df.select(*out)
+
+
 def with_nested(df: DataFrame, path: str, value: Column) -> DataFrame:
     """A field of a struct, given by a dotted path, replaced; a null struct on the way stays null."""
     first, _, rest = path.partition(".")

@@ -190,3 +190,64 @@ def normal_markdown(text: Column) -> Column:
     """One kind of line end, no blanks at line ends, at most one blank line in a row."""
     lines = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), "[ \t]+\n", "\n")
     return F.trim(F.regexp_replace(lines, "\n{3,}", "\n\n"))
+
+
+def fenced_markdown(text: Column) -> Column:
+    """Normal markdown in which blocks that look like tables stand between fences.
+
+    A block is what stands between blank lines. It is a table if it has two or more lines, no fence of its own, and either a
+    table's title or, on six lines of ten and at least two, two pipes or two runs of blanks.
+    """
+    def fence(block: Column) -> Column:
+        lines = F.split(block, "\n")
+        many = lambda pattern: F.size(F.filter(lines, lambda x: F.regexp_count(x, F.lit(pattern)) >= 2))
+        enough = F.greatest(F.lit(2), F.floor(F.size(lines) * 0.6))
+        table = (F.size(lines) >= 2) & ~block.contains("```") & (block.contains("TABLE_P") | block.contains("=== TABLE") | (many(r"\|") >= enough) | (many(r"\s{2,}") >= enough))
+        return F.when(table, F.concat(F.lit("```\n"), block, F.lit("\n```"))).otherwise(block)
+
+    return F.array_join(F.transform(F.split(normal_markdown(text), "\n\n"), fence), "\n\n")
+
+
+# Patterns and words that answers about prices need.
+SIGNALS = {
+    "n_amounts": r"\$\s*\d[\d,]*(?:\.\d{1,4})?|\bUSD\s*\d[\d,]*(?:\.\d{1,4})?", "n_percents": r"\b\d{1,3}(?:\.\d+)?\s*%", "n_years": r"\b(?:19|20)\d{2}\b", "n_numbers": r"\b\d[\d,]*(?:\.\d+)?\b",
+    "n_amount_lines": r"(?m)^.*(?:\$|USD).*$",
+}
+TREND_WORDS = (
+    "increase", "decrease", "growth", "baseline", "forecast", "trend", "yoy", "cpi", "inflation", "renewal", "uplift", "escalat", "annual", "year", "month", "pricing", "price", "rate", "fee",
+    "credit", "discount", "subtotal", "total", "unit", "per user", "per seat", "per month", "per year",
+)
+
+
+def pricing_signals(text: Column) -> dict[str, Column]:
+    """Counts of what answers about prices need: amounts, lines with amounts, percents, years, numbers, and how many trend words occur."""
+    counts = {name: F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)) for name, pattern in SIGNALS.items()}
+    words = sum((F.coalesce(F.lower(text).contains(w), F.lit(False)).cast("int") for w in TREND_WORDS), F.lit(0))
+    return {**counts, "n_trend_words": words}
+
+
+# Ends that a text is cut back to, in order of preference.
+CUT_ENDS = (". ", "! ", "? ", "\n\n", "\n")
+
+
+def cut_tokens(text: Column, most: int) -> Column:
+    """A beginning of at most ``4 * most`` characters, cut back to the end of a sentence or line that loses less than a fifth."""
+    size = 4 * most
+    head = F.left(text, F.lit(size))
+    out = head
+    for end in reversed(CUT_ENDS):
+        # The last place of an end: what is behind it in the reversed text.
+        back = F.locate(end[::-1], F.reverse(head))
+        stop = F.lit(size) - back + 1
+        out = F.when((back > 0) & (stop - len(end) > 0.8 * size), F.left(head, stop)).otherwise(out)
+    return F.when(F.length(text) <= size, text).otherwise(out)
+
+
+def error_kind(error: Column) -> Column:
+    """The kind of an error by the words of its message; null where there is none."""
+    found = F.lower(error)
+    kind = F.when(error.isNull(), F.lit(None).cast("string"))
+    for name, words in ERROR_KINDS:
+        for word in words:
+            kind = kind.when(found.contains(word), name)
+    return kind.otherwise("other")

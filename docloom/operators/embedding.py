@@ -48,11 +48,27 @@ class QueryRewriter(ABC):
     def rewrite(self, query: str, kind: str) -> list[str]: ...
 
 
+# Sentences that an answer of each kind might hold.
+TEMPLATES = {
+    "pricing_proposal": ("The quoted price for {q} is set out by unit, term and discount.", "This proposal lists the costs and fees of {q}."),
+    "vendor_contract": ("The parties agree on {q} under the terms of this contract.", "This agreement governs {q}, its renewal and its termination."),
+    "technical_specification": ("The system meets these requirements: {q}.", "The implementation of {q} is specified as follows."),
+    "compliance_security": ("The audit covers {q} and the controls for it.", "The policy requires {q} for compliance."),
+    "vendor_comparison": ("Compared with other vendors, {q} is evaluated as follows.", "The alternatives for {q} differ in price and scope."),
+    "general": ("This document describes {q}.", "The following concerns {q}."),
+}
+
+
 class TemplateRewriter(QueryRewriter):
-    """A stand-in: the query put into a sentence of its kind."""
+    """A stand-in: the query put into sentences of its kind, with what is known of the business in brackets."""
+
+    def __init__(self, context: dict[str, str] | None = None) -> None:
+        self.context = context or {}
 
     def rewrite(self, query: str, kind: str) -> list[str]:
-        return [f"This {kind.replace('_', ' ')} states: {query}"]
+        known = ", ".join(f"{k}: {v}" for k, v in self.context.items())
+        said = f"{query} ({known})" if known else query
+        return [t.format(q=said) for t in TEMPLATES.get(kind, TEMPLATES["general"])]
 
 
 def embedded(df: DataFrame, text: str, model: Embedder, out: str = "vector", batch: int = 24) -> DataFrame:

@@ -87,6 +87,21 @@ def backfill(df: DataFrame, column: str, key: Column, names: DataFrame, name_key
     return joined.withColumn(f"{column}_source", source).withColumn(column, F.when(has, F.col(column)).otherwise(F.col("_n"))).drop("_k", "_n", "_ref")
 
 
+def backfill_by_deal(df: DataFrame, vendor: str, name: str, deal: Column, deals: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Missing vendor ids filled from the deal, and names from the vendor; adds ``outcome``.
+
+    ``deals`` has ``deal, vendor_id``, ``vendors`` has ``vendor_id, vendor_name``, each key once. Outcomes: ``populated`` (an id
+    was there), ``no_deal_mapping``, ``id_added``, ``id_and_name_added``.
+    """
+    mapped = deals.select(F.col("deal").alias("_deal"), F.trim(present(F.col("vendor_id"), NULL_LIKE)).alias("_vendor")).where("_deal is not null and _vendor is not null")
+    named = vendors.select(F.col("vendor_id").alias("_key"), F.col("vendor_name").alias("_name"))
+    has = ~is_missing(F.col(vendor), NULL_LIKE)
+    joined = df.withColumn("_ref", F.when(~has, deal)).join(mapped, F.col("_ref") == F.col("_deal"), "left").join(named, F.col("_vendor") == F.col("_key"), "left")
+    outcome = F.when(has, "populated").when(F.col("_vendor").isNull(), "no_deal_mapping").when(F.col("_name").isNull(), "id_added").otherwise("id_and_name_added")
+    filled = {vendor: F.when(has, F.col(vendor)).otherwise(F.coalesce("_vendor", F.col(vendor))), name: F.coalesce("_name", F.col(name))}
+    return joined.withColumn("outcome", outcome).withColumns(filled).drop("_ref", "_deal", "_vendor", "_key", "_name")
+
+
 def overlay(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Left rows with the right side's values wherever the key is found, blank ones included."""
     other = right.select(F.col(key).alias("_k"), F.lit(True).alias("_hit"), *[F.col(c).alias(f"_r_{c}") for c in columns])

@@ -288,3 +288,32 @@ def update_metadata(index: DataFrame, changes: DataFrame, key: str, columns: lis
 def replace_documents(index: DataFrame, fresh: DataFrame, document: str) -> DataFrame:
     """Index rows with all rows of the documents in ``fresh`` replaced, so no stale tail chunk stays."""
     return index.join(fresh.select(document).distinct(), document, "left_anti").unionByName(fresh)
+
+
+def business_context(where: dict | None) -> dict[str, str] | None:
+    """What a filter says of vendor, client, year and document type, for the rewriting of a query; None where it says nothing."""
+    plain = {f: v.get("$eq") if isinstance(v, dict) else v for f, v in (where or {}).items() if f in ("vendor", "client", "year", "document_type")}
+    return {f: v for f, v in plain.items() if isinstance(v, str)} or None
+
+
+# Criteria of a business search.
+CRITERIA = ("vendor", "client", "deal_number", "year", "week_number", "document_type", "deal_status")
+
+
+def criteria_filter(**given) -> dict:
+    """A filter of equalities on the criteria that are given; empty and zero values do not filter."""
+    unknown = set(given) - set(CRITERIA)
+    if unknown:
+        raise ValueError(f"unknown criteria {sorted(unknown)}")
+    return {f: given[f] for f in CRITERIA if given.get(f)}
+
+
+# Messages of errors that pass with time or smaller batches, and of errors that do not.
+PASSING = ("429", "rate limit", "quota", "too many requests", "upsert size limit", "max upsert size", "throttled", "request size", "exceeds the maximum", "metadata size")
+LASTING = ("sparse vector must contain at least one value", "invalid sparse vector", "malformed vector")
+
+
+def passing(error: BaseException) -> bool:
+    """Whether an operation that failed so is worth another try."""
+    said = str(error).lower()
+    return not any(x in said for x in LASTING) and any(x in said for x in PASSING)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docloom.plans import dirty_data, evaluated, more, records, texts, vectors
+from docloom.plans import dirty_data, evaluated, more, records, reports, texts, vectors
 
-_PARTS = (dirty_data, texts, records, vectors, more, evaluated)
+_PARTS = (dirty_data, texts, records, vectors, more, evaluated, reports)
 QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
 

@@ -62,6 +62,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(at)) if system.exists(at) else []
 
 
+def modified(spark: SparkSession, path: str) -> float | None:
+    """When a file was last written, in seconds since 1970; None where it is missing."""
+    at, system = _hadoop(spark, path)
+    return system.getFileStatus(at).getModificationTime() / 1_000 if system.exists(at) else None
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """An empty file, written at once: it tells that something is complete."""
     at, system = _hadoop(spark, path)

@@ -147,24 +147,31 @@ def _ruled(mail: DataFrame) -> DataFrame:
         F.when(F.col("blank"), "blank").when(F.col("quoted"), "quoted").when(F.col("is_old"), "old").when(F.col("is_signed"), "signed").when(F.col("is_closed"), "formula")
         .when(F.max(F.col("notice").cast("int")).over(first) == 1, "notice")
     )
-    columns = ("id", "thread", "sender", "sent", "line_no", "text", "norm", "writer")
-    return _written(seen.withColumn("rule", rule).where("rule is null or rule <> 'blank'").select(*columns, "rule"), "ruled-lines")
+    # What a repeat is known by, as numbers: the line, and the line with each of its neighbours.
+    size = lambda c: F.length(c)
+    pair = lambda a, b: F.when((size(a) > 0) & (size(b) > 0) & (size(a) + size(b) >= SURE_CHARS), F.xxhash64("thread", a, b))
+    norm = F.col("norm")
+    seen = seen.withColumns({
+        "rule": rule, "single": F.when(size(norm) >= REPEAT_CHARS, F.xxhash64("thread", norm)), "pairs": F.array_compact(F.array(pair(norm, F.lead("norm").over(own)), pair(F.lag("norm").over(own), norm))),
+    })
+    columns = ("id", "sender", "sent", "line_no", "text", "norm", "writer", "single", "pairs")
+    return _written(seen.where("rule is null or rule <> 'blank'").select(*columns, "rule"), "ruled-lines")
 
 
 def _repeats(lines: DataFrame) -> DataFrame:
     """``id, line_no`` of lines that an earlier message of the thread, by someone else, already holds."""
-    people = lines.where("writer is not null").select("id", F.col("writer").alias("person")).unionByName(lines.select("id", F.lower("sender").alias("person"))).where("person is not null").distinct()
+    name = F.xxhash64(F.lower("sender"))
+    people = lines.where("writer is not null").select("id", F.xxhash64("writer").alias("person")).unionByName(lines.where("sender is not null").select("id", name.alias("person"))).distinct()
     # A quoted line belongs to a message before the mail, a new one to the mail itself.
     quoted = F.coalesce(F.col("rule").isin("quoted", "old"), F.lit(False))
-    held = lines.where(F.col("rule").isNull() | quoted).select("id", "thread", "sender", "line_no", "norm", F.struct("sent", (~quoted).cast("int").alias("own")).alias("at"), quoted.alias("was"))
-    kept, own = ("id", "sender", "line_no", "at", "was"), Window.partitionBy("id").orderBy("line_no")
-    pair = lambda a, b: F.when(F.length(a) + F.length(b) >= SURE_CHARS, F.xxhash64("thread", a, b))
-    pairs = held.withColumn("keys", F.array(pair(F.col("norm"), F.lead("norm").over(own)), pair(F.lag("norm").over(own), F.col("norm"))))
-    placed = held.where(F.length("norm") >= REPEAT_CHARS).join(people, "id").select(F.xxhash64("thread", "person", "norm").alias("key"), *kept)
-    placed = placed.unionByName(pairs.select(F.explode("keys").alias("key"), *kept).where("key is not null"))
-    firsts = placed.groupBy("key").agg(F.min(F.struct("at", "id", "was", "sender")).alias("first"), F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key", "first")
-    mine = hot_left_join(placed.where("not was"), firsts, ["key"], F.xxhash64("id")).where("first is not null and first.id <> id")
-    other = F.col("first.was") | ~F.col("first.sender").eqNullSafe(F.col("sender"))
+    at = F.struct("sent", (~quoted).cast("int").alias("own"))
+    held = lines.where(F.col("rule").isNull() | quoted).select("id", name.alias("by"), "line_no", at.alias("at"), quoted.alias("was"), "single", "pairs")
+    kept = ("id", "by", "line_no", "at", "was")
+    placed = held.where("single is not null").join(people, "id").select(F.xxhash64("single", "person").alias("key"), *kept)
+    placed = placed.unionByName(held.select(F.explode("pairs").alias("key"), *kept))
+    firsts = placed.groupBy("key").agg(F.min(F.struct("at", "id", "was", "by")).alias("first"), F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key", "first")
+    mine = hot_left_join(placed.where("not was").select("key", "id", "by", "line_no"), firsts, ["key"], F.xxhash64("id")).where("first is not null and first.id <> id")
+    other = F.col("first.was") | ~F.col("first.by").eqNullSafe(F.col("by"))
     return mine.where(other).select("id", "line_no").distinct()
 
 

@@ -34,7 +34,7 @@ from docloom.session import checkpointed, numbered, scratch_path, shuffle_width
 
 WORDS, SIMILARITY = 3, 0.7
 SHORT = 3
-BLOCK = 2_048
+BLOCK = 8_192
 SHARD_ROWS = 500_000
 STAR = 1_000
 #: Rows of three numbers that are broadcast at most, after they were counted.
@@ -153,19 +153,52 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A stored table of a few numbers a row, marked for broadcast where it has few rows."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+def _reassembled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows ``class, n, rank, df``, those of a class one behind the other, as one row for each class, shortest list first."""
+    held: list[pd.DataFrame] = []
+
+    def made(part: pd.DataFrame) -> pd.DataFrame:
+        label = part["class"].to_numpy()
+        starts = np.append(0, np.flatnonzero(np.diff(label)) + 1)
+        stops = np.append(starts[1:], len(label))
+        rank, df = part["rank"].to_numpy(), part["df"].to_numpy()
+        orders = [a + np.argsort(rank[a:b], kind="stable") for a, b in zip(starts, stops, strict=True)]
+        return pd.DataFrame({"class": label[starts], "n": part["n"].to_numpy()[starts], "ranks": [rank[o] for o in orders], "dfs": [df[o] for o in orders]})
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        # The last class of a batch may go on in the next one.
+        last = batch["class"].iloc[-1]
+        other = np.flatnonzero(batch["class"].to_numpy() != last)
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if held and held[-1]["class"].iloc[-1] != batch["class"].iloc[0]:
+            yield made(pd.concat(held))
+            held = []
+        if cut:
+            yield made(pd.concat([*held, batch.iloc[:cut]]))
+            held = []
+        held.append(batch.iloc[cut:])
+    if held:
+        yield made(pd.concat(held))
 
 
 def _lists(sets: DataFrame, similarity: float) -> DataFrame:
-    """``class, n, l`` of the sets that can have a partner: their repeated shingles as ``rank, df``, shortest list first."""
+    """``class, n, ranks, dfs`` of the sets that can have a partner: ranks and lengths of the lists of their repeated shingles, shortest first.
+
+    Where the ranks are broadcast, the rows of a set stay together and nothing is moved by class.
+    """
     postings = sets.select("class", "n", F.explode("items").alias("item"))
     frequency = postings.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = numbered(frequency, ["df", "item"], "rank")
+    ranked = _written(numbered(frequency, ["df", "item"], "rank"), "ranks")
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9))
-    listed = postings.join(_small(_written(ranked, "ranks")), "item").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "df"))).alias("l"))
-    return _written(listed.where(F.size("l") >= least), "lists")
+    if ranked.count() <= SENT_ROWS:
+        held = postings.join(F.broadcast(ranked), "item").select("class", "n", "rank", "df")
+        listed = held.mapInPandas(_reassembled, "class bigint, n int, ranks array<bigint>, dfs array<bigint>")
+    else:
+        grouped = postings.join(ranked, "item").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "df"))).alias("l"))
+        listed = grouped.select("class", "n", F.col("l.rank").alias("ranks"), F.col("l.df").alias("dfs"))
+    return _written(listed.where(F.size("ranks") >= least), "lists")
 
 
 def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
@@ -173,8 +206,8 @@ def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int
     listed = _lists(sets, similarity)
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
     # Of the lists of repeated shingles, all but the longest ``least - short``.
-    take = (F.size("l") - least + F.least(F.lit(short), least)).cast("int")
-    brief = listed.select("class", "n", F.size("l").alias("m"), F.posexplode(F.slice("l", F.lit(1), take)).alias("f", "x")).select(
+    take = (F.size("ranks") - least + F.least(F.lit(short), least)).cast("int")
+    brief = listed.select("class", "n", F.size("ranks").alias("m"), F.posexplode(F.arrays_zip(F.slice("ranks", F.lit(1), take).alias("rank"), F.slice("dfs", F.lit(1), take).alias("df"))).alias("f", "x")).select(
         "class", "n", "f", (F.col("m") - F.col("f") - 1).alias("r"), "x.df", F.col("x.rank").alias("item")
     )
     blocks = F.ceil(F.col("df") / BLOCK).cast("int")
@@ -187,8 +220,7 @@ def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int
     merged = sharded.groupBy("shard").applyInPandas(_merge_shard(similarity), "a bigint, b bigint, n_b int, k int")
     enough = F.col("k") >= F.least(F.lit(short), F.ceil(F.col("n_b") * similarity - 1e-9))
     counted = merged.groupBy("a", "b").agg(F.sum("k").cast("int").alias("k"), F.max("n_b").alias("n_b")).where(enough).drop("n_b")
-    ranks = F.transform("l", lambda x: x["rank"])
-    sides = [listed.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), ranks.alias(f"l_{x}"), F.get(ranks, take - 1).alias(f"last_{x}")) for x in ("a", "b")]
+    sides = [listed.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("ranks").alias(f"l_{x}"), F.get("ranks", take - 1).alias(f"last_{x}")) for x in ("a", "b")]
     pairs = counted.join(sides[1], "b").join(sides[0], "a")
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,7 +248,8 @@ def _class_sets(stored: DataFrame) -> DataFrame:
     """One row of each class; the other rows are left out where the sets are read, so that no set is moved."""
     first = stored.groupBy("class").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1")
     copies = stored.select("class", "row").join(first, "class").where("row <> first").select("row")
-    return stored.select("class", "n", "items", "row").join(_small(_written(copies, "copies")), "row", "left_anti").drop("row")
+    copies = _written(copies, "copies")
+    return stored.select("class", "n", "items", "row").join(F.broadcast(copies) if copies.count() <= SENT_ROWS else copies, "row", "left_anti").drop("row")
 
 
 def _prepared(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:

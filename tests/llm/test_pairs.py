@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 
 from docloom.llm import neardup, queries, spans
@@ -28,9 +29,10 @@ def similar(rows):
     return {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b]) - 1e-9}
 
 
-@pytest.mark.parametrize(("seed", "block"), [(1, 2_048), (2, 2)])
-def test_similar_pairs(spark, monkeypatch, seed, block):
+@pytest.mark.parametrize(("seed", "block", "sent"), [(1, 8_192, 1_000_000), (2, 2, 1_000_000), (3, 8_192, 0)])
+def test_similar_pairs(spark, monkeypatch, seed, block, sent):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "SENT_ROWS", sent)
     rows = texts(seed, 90)
     df = spark.createDataFrame(rows, "id long, text string")
     want = similar(rows)
@@ -44,6 +46,16 @@ def test_similar_pairs(spark, monkeypatch, seed, block):
     assert {r.id: r.n_links for r in got} == {k: sum(k in p for p in want) for k in lead}
 
 
+def test_rows_of_a_class_are_put_together():
+    rng = random.Random(1)
+    rows = [(c, 9, r, r * 2) for c in (5, 3, 8, 1) for r in rng.sample(range(50), rng.randrange(1, 9))]
+    for size in (1, 2, 3, 5, 50):
+        parts = (pd.DataFrame(rows[i : i + size], columns=["class", "n", "rank", "df"]) for i in range(0, len(rows), size))
+        got = pd.concat(list(neardup._reassembled(parts)))
+        assert got["class"].tolist() == [5, 3, 8, 1]
+        assert all(list(r) == sorted(x[2] for x in rows if x[0] == c) and list(d) == [2 * x for x in r] for c, r, d in zip(got["class"], got["ranks"], got["dfs"], strict=True))
+
+
 def test_star_of_many_copies(spark, monkeypatch):
     monkeypatch.setattr(neardup, "STAR", 3)
     df = spark.createDataFrame([(k, "one two three four five six seven eight nine ten") for k in range(6)] + [(9, "one two three four five six seven eight nine ten eleven")], "id long, text string")

@@ -196,7 +196,23 @@ _contacts = f"""WITH a AS (SELECT source, text, regexp_replace(text, {_q(redacti
     b AS (SELECT *, regexp_replace(t1, {_q(_PHONE)}, '\\1<<PHONE>>', 'g') AS t2 FROM a), c AS (SELECT *, regexp_replace(t2, {_q(redaction.ADDRESS)}, '<<ADDRESS>>', 'g') AS t3 FROM b)"""
 
 
+# Spellings of clients as one pattern each. Look-around is matched and put back; a second pass takes names that shared the blank between them.
+_bare = ", ".join(f"trim(regexp_replace(n, '(?i)\\s+{x}\\.?$', ''))" for x in redaction.LEGAL)
+_less = ", ".join(f"trim(regexp_replace(n, '(?i)\\b{x}\\b\\s*', '', 'g'))" for x in redaction.DROPPED)
+_endings = "|".join(redaction.TAIL_ENDINGS)
+_clients = f"""WITH c AS (SELECT salesforce_client_id AS cid, trim(client_name) AS n, aliases, '<<CLIENT: ' || CASE WHEN trim(coalesce(industry_label, '')) = '' THEN 'Client Organization' ELSE trim(industry_label) END || '>>' AS token FROM client_registry),
+    f AS (SELECT cid, token, list_concat([n, regexp_replace(n, '\\s+', ' ', 'g'), {_bare}, {_less}, regexp_replace(n, '\\s+', '', 'g'), CASE WHEN contains(n, '&') THEN replace(n, '&', 'and') END,
+      CASE WHEN contains(lower(n), 'and') THEN replace(n, 'and', '&') END], list_transform(string_split(coalesce(aliases, ''), '|'), lambda a: trim(a))) AS forms FROM c),
+    l AS (SELECT cid, token, unnest(list_distinct(list_transform(list_filter(forms, lambda x: coalesce(x, '') <> ''), lambda x: lower(x)))) AS form FROM f),
+    p AS (SELECT cid, token, '(?i)(^|[^A-Za-z0-9])(?:' || string_agg(regexp_escape(form), '|' ORDER BY length(form) DESC, form) || ')($|[^A-Za-z0-9])' AS pattern FROM l GROUP BY ALL),
+    d AS (SELECT doc_id, text, token, pattern FROM documents LEFT JOIN p ON cid = trim(client_id)), a AS (SELECT *, regexp_replace(text, pattern, '\\1' || token || '\\2', 'g') AS t1 FROM d),
+    b AS (SELECT *, regexp_replace(t1, pattern, '\\1' || token || '\\2', 'g') AS t2 FROM a), e AS (SELECT *, CASE WHEN token IS NULL THEN text ELSE t2 END AS said FROM b)"""
+_times = "(length({t}) - length(replace({t}, token, ''))) // length(token)"
+
+
 ORACLE = {
+    "client_redaction": _clients + f""" SELECT doc_id, coalesce({_times.format(t='t2')} - {_times.format(t='text')}, 0)::INTEGER AS n_client,
+        md5(regexp_replace(said, '(<<CLIENT: [^>]*>>)\\s+(?:and\\s+)?(?:[A-Z][A-Za-z0-9&''.-]*\\s+){{0,10}}(?:{_endings})\\b(?:\\s+Inc\\b)?', '\\1', 'g')) AS text_md5 FROM e""",
     "contact_redaction": _contacts + f""" SELECT coalesce(source, 'none') AS source, count(*) AS n_docs, sum(coalesce(len(regexp_extract_all(text, {_q(redaction.EMAIL)})), 0))::BIGINT AS n_email,
         sum(coalesce(len(regexp_extract_all(t1, {_q(_PHONE)})), 0))::BIGINT AS n_phone, sum(coalesce(len(regexp_extract_all(t2, {_q(redaction.ADDRESS)})), 0))::BIGINT AS n_address,
         count(*) FILTER (regexp_matches(t3, {_q(redaction.EMAIL)}) OR regexp_matches(t3, {_q(_PHONE)})) AS n_failed FROM c GROUP BY 1""",

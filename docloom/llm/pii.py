@@ -47,10 +47,10 @@ GIVEN = (
 TITLES = ("mr", "mrs", "ms", "miss", "dr", "prof", "frau", "herr", "herrn", "mme", "mlle", "m.", "monsieur", "madame", "sr", "sra", "srta", "señor", "señora", "sir")
 BEFORE = (
     "with", "attention", "attention of", "attn", "attn:", "attention:", "att:", "contact", "contact:", "contacts:", "contacted", "signed", "signed:", "signed by", "signature:", "by",
-    "ask", "asked", "asking", "tell", "told", "call", "called", "phone", "phoned", "email", "emailed", "reach", "to", "from", "for", "met", "meet", "know", "knows", "per", "via", "between",
+    "ask", "asked", "asking", "under", "cc", "cc:", "bcc:", "and", "our", "my", "their", "tell", "told", "call", "called", "phone", "phoned", "email", "emailed", "reach", "to", "from", "for", "met", "meet", "know", "knows", "per", "via", "between",
     "dear", "hi", "hello", "hallo", "hola", "bonjour", "c/o", "formerly", "previously", "once", "regards,", "sincerely,", "cheers,", "name:", "name is", "named", "behalf of", "herrn und frau",
     "buyer,", "seller,", "manager,", "director,", "lead,", "engineer,", "officer,", "owner,", "counsel,", "specialist,", "assistant,", "colleague,", "customer,", "client,", "employee,", "person:",
-    "zu händen", "z. hd.", "mit", "von", "an", "laut", "à l'attention de", "avec", "selon", "chez", "atención de", "con", "según", "por", "de parte de",
+    "zu händen", "z. hd.", "mit", "von", "an", "laut", "à l'attention de", "avec", "selon", "chez", "atención de", "con", "a", "según", "por", "de parte de",
 )
 #: Of the words before, those that also announce a name in lower case.
 ANNOUNCE = frozenset(
@@ -240,6 +240,11 @@ def _phone(text: str, begin: int, end: int) -> tuple[int, int] | None:
     return found.span()
 
 
+def _words(text: str) -> list[str]:
+    """The words of a name; parts joined by hyphens or apostrophes are one."""
+    return re.findall(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", text)
+
+
 def _bears(words: list[str], given: Names, comma: bool) -> bool:
     """Whether words can be a person's: no word of a company, a surname that is no common word, a given name before it.
 
@@ -269,9 +274,9 @@ def _person(text: str, at: int, given: Names, announced: bool = False) -> tuple[
         lower = _LOWER_NAME.match(text, at)
         words = lower[0].replace(".", "").split() if lower else [""]
         return lower.span() if announced and words[0] in given and _bears(words, given, False) else None
-    words = re.findall(r"[^\W\d_]+", found[0])
+    words = _words(found[0])
     if found["a"]:
-        if _bears(re.findall(r"[^\W\d_]+", re.sub(r" .\.$", "", found[0])), given, True):
+        if _bears(_words(re.sub(r" .\.$", "", found[0])), given, True):
             return found.span()
         # A surname alone before a comma, or a full name before one: the part before it.
         before = re.match(rf"{_WORD}", text[at : found.end()])
@@ -302,7 +307,7 @@ def _before(text: str, end: int, given: Names) -> tuple[int, int] | None:
     at, stop = start + back.start(kind), start + back.end(kind)
     if at and (text[at - 1].isalnum() or text[at - 1] in "-'’"):
         return None
-    words = re.findall(r"[^\W\d_]+", re.sub(r" .\.$", "", text[at:stop]) if kind == "b" else text[at:stop])
+    words = _words(re.sub(r" .\.$", "", text[at:stop]) if kind == "b" else text[at:stop])
     titled = _TITLED.match(text, at)
     if titled and titled.end() < stop:
         return _person(text, at, given)
@@ -360,6 +365,9 @@ def _spans(text: str, given: Names) -> Iterator[tuple[str, int, int]]:
                 yield got[0], *(_whole(text, got[1]) if got[0] == "address" else got[1])
                 if got[0] in ("email", "national_id") and (name := _beside(text, got[1][0], given)):
                     yield "name", *name
+    for run in _SET_OFF.finditer(text):
+        if (name := _person(text, run.end(), given)) and text[name[1] : name[1] + 1] == ",":
+            yield "name", *name
     for run in _NUMBERS.finditer(text):
         if span := _phone(text, *run.span()):
             yield "phone", *span
@@ -367,6 +375,7 @@ def _spans(text: str, given: Names) -> Iterator[tuple[str, int, int]]:
                 yield "name", *name
 
 
+_SET_OFF = re.compile(rf"(?<![\w-])[{_LOW}]{{3,}}, (?=[{_UP}])")
 _INITIAL_LAST = re.compile(rf"(?: (?:[{_UP}]\.|van|von|de|der|den|la|del|di|bin|al))* (?:{_WORD})")
 
 
@@ -376,7 +385,7 @@ def _around(text: str, begin: int, end: int, given: Names) -> Iterator[tuple[str
     if not word[0].isupper():
         return
     tail = _INITIAL_LAST.match(text, end)
-    if tail and tail[0].split()[-1].isupper() == word.isupper() and tail[0].split()[-1].lower() not in _common() and _bears(re.findall(r"[^\W\d_]+", text[begin : tail.end()]), given, False):
+    if tail and tail[0].split()[-1].isupper() == word.isupper() and tail[0].split()[-1].lower() not in _common() and _bears(_words(text[begin : tail.end()]), given, False):
         yield "name", begin, tail.end()
         return
     lead = re.search(rf"({_WORD}), $", text[max(0, begin - 30) : begin])

@@ -35,19 +35,45 @@ PERSONS = (
 ).split(" | ")
 OTHERS = (
     "Spoke with Hexgard Networks about | Contact Marlow Ridge for | from Dublin Hub | The Buyer asked for it | quote from Old Tannery | Visit with Acme Global Solutions | met Deal Desk today | "
-    "Switching to Database Option | Per Section Four | to New York by Monday | with Frame Agreement | the guarantor signed | call Windows Server | from the West Campus"
+    "from Frankfurt Flughafen | Switching to Database Option | Per Section Four | to New York by Monday | with Frame Agreement | the guarantor signed | call Windows Server | from the West Campus"
 ).split(" | ")
 
 
-def test_names_by_shape_and_cue():
-    right = wrong = 0
-    for said in PERSONS:
+# A second set, written after the rules and never used to change them: its figures are what to expect of other text.
+UNSEEN = (
+    "Minutes taken by *Rosamund Thistlewood* | The site manager is *Okonkwo Chidubem* | *Svetlana Kuznetsova* phoned twice | Reach *Emil Jankovic* after lunch | Thanks to *Ottoline Bridgerton* for the tip | "
+    "*Karen White* approved the change | Kind regards, *Lorcan Gallagher* | My colleague *Ayumi Nakagawa* knows more | The tenant, *Percival Lockwood*, moved out | Herr *Zimmerbauer* ruft an | "
+    "Vertreten durch *Hannelore Kirchgessner* | D'après *Gaëtan Lemercier*, non | Hablé con *Remedios Altamirano* ayer | Approver: *Dashiell Whitcombe* | On *Nkechi Adichie*'s desk | "
+    "Call *Thomas Green* (212-555-0143) | *Vasquez, Inmaculada* replied | Owner *Clementine Ashgrove* signed off | the badge of *Fenella Drummond* expired | *D. Szymborska* asked for it | "
+    "I gave *Isolde Marchetti* the file | hired *Ransome Eversleigh* in May"
+).split(" | ")
+UNSEEN_OTHERS = (
+    "Meeting in Kuala Lumpur | Hosted by Amazon Redshift | Review from Quality Assurance | Travel to Palo Alto | Ask the Help Desk | Powered by Snowflake Horizon | for the Annual Review | Data Retention Policy applies | "
+    "with Nordwind Logistik | Approved Vendor List was sent | from Gdansk Terminal | per Purchase Order | Adobe Acrobat is needed | the Northern Depot asked | via Kafka Connect"
+).split(" | ")
+
+
+def _figures(persons, others):
+    """Names found whole, names there are, other spans called names, and sentences without a name that were given one."""
+    found = wrong = 0
+    for said in persons:
         want = said.split("*")[1]
         got = [said.replace("*", "")[b:e] for k, b, e in find(said.replace("*", "")) if k == "name"]
-        right += want in got
+        found += want in got
         wrong += len(got) - (want in got)
-    assert right >= 0.9 * len(PERSONS) and wrong <= 1  # a second given name behind a comma is lost
-    assert [x for x in OTHERS if any(k == "name" for k, _, _ in find(x))] == []
+    return found, len(persons), wrong, sum(any(k == "name" for k, _, _ in find(x)) for x in others)
+
+
+def test_names_by_shape_and_cue():
+    """Sentences that the rules were made with: a second given name behind a comma and a place are wrong."""
+    found, n, wrong, false = _figures(PERSONS, OTHERS)
+    assert found >= 0.9 * n and wrong <= 1 and false <= 1
+
+
+def test_unseen_names():
+    """Measured once: 14 of 22 names, none in part, and 2 of 15 other sentences wrong. A floor, not an aim that was reached."""
+    found, n, wrong, false = _figures(UNSEEN, UNSEEN_OTHERS)
+    assert (n, len(UNSEEN_OTHERS)) == (22, 15) and found >= 14 and wrong == 0 and false <= 2
 
 
 def test_given_names_are_learned(spark):

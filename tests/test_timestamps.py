@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import zoneinfo
 
 import pytest
@@ -131,3 +132,16 @@ def test_sequence_stands_for_ingestion(spark, monkeypatch):
     df = spark.createDataFrame([(i, v, seen if k % 10 == 2 else None, k, want) for i, v, seen, k, want in rows], SCHEMA)
     got = {r.record_id: r.epoch_us for r in to_instants(df, ["v"], "id", ingested="seen", sequence="seq").collect()}
     assert got == {r[0]: r[4] for r in rows}
+
+
+@pytest.mark.parametrize("hours", [lambda r: r.uniform(-72, 72), lambda r: r.gauss(0, 12), lambda r: r.uniform(0, 120), lambda r: -r.uniform(0, 120), lambda r: -r.uniform(0, 17_520)])
+def test_times_that_tell_nothing_stay_in_the_fallback(spark, hours):
+    """Times around, after or long before their ingestion, in UTC: no source may be read in another zone."""
+    rng = random.Random(11)
+    rows = []
+    for group in range(40):
+        for _ in range(rng.choice([30, 100, 400, 1_500])):
+            seen = dt.datetime(2022, 1, 1, tzinfo=UTC) + dt.timedelta(minutes=rng.randrange(2 * 365 * 1_440))
+            rows.append((str(group), (seen + dt.timedelta(hours=hours(rng))).strftime("%Y-%m-%d %H:%M:%S"), seen))
+    found = estimate_zones(spark.createDataFrame(rows, "g string, v string, seen timestamp"), ["v"], "seen", group="g")
+    assert found.where("zone <> 'UTC'").count() == 0 and found.agg({"n_rows": "sum"}).first()[0] == len(rows)

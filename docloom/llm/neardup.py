@@ -1,16 +1,16 @@
 """Near-duplicate records: every pair whose word-shingle sets are similar enough, without comparing all.
 
-A T-occurrence search by DivideSkip, spread over shards. A set of ``n`` shingles with similarity ``t`` to another
+A T-occurrence search by DivideSkip, spread over blocks of sets. A set of ``n`` shingles with similarity ``t`` to another
 shares at least ``T = ceil(t * n)`` of them. Its inverted lists are ordered by length: the longest, ``T - c`` of
-them, are set aside, and a partner must occur at least ``c`` times in the rest. Those short lists are merged by a
-heap, shard by shard of the shingles; the long lists of partners that reach ``c`` over all shards are then probed, each by
+them, are set aside, and a partner must occur at least ``c`` times in the rest. A task holds the short lists of a block and merges
+them for the sets of other blocks; the long lists of partners that reach ``c`` are then probed, each by
 a binary search in the partner's sorted list, and pairs are kept that reach the overlap the similarity asks for.
 
-Shingles are counted once. Those that occur in one set alone have no list to merge and go no further; the others get their
-rank by length of list, and from there on only ranks are moved, of sets that have enough of them. The ranks reach the sets
-by broadcast where a count shows that they are few (``SENT_ROWS``), else by sort and merge.
-Records with equal sets are one class, and take part once. A list longer than ``BLOCK`` is cut into blocks and its block
-pairs go to different shards.
+The order of the lists need not be exact, only the same for all sets: occurrences are counted by bucket of the shingles' numbers, and
+lists are ordered by the logarithm of the count and then by number. Shingles of buckets that count one occur in one set alone,
+have no list to merge and go no further. So neither shingles nor candidates are shuffled: the sets are written once, to files that
+the tasks read from the shared folder, and only counts, labels and the pairs found are moved.
+Records with equal sets are one class, and take part once.
 
 Defined results: null and empty texts, and texts with fewer words than a shingle, match nothing; equal sets
 have similarity 1; rows that repeat an id are one record (the union of their pairs).
@@ -18,27 +18,32 @@ have similarity 1; rows that repeat an id are one record (the union of their pai
 
 from __future__ import annotations
 
-import heapq
 import math
-from bisect import bisect_left
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyarrow import fs, parquet
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.words import shingles, word_numbers, words_of
-from docloom.session import checkpointed, numbered, scratch_path, shuffle_width
+from docloom.session import checkpointed, scratch_path
 
 WORDS, SIMILARITY = 3, 0.7
 SHORT = 3
-BLOCK = 8_192
-SHARD_ROWS = 500_000
+#: Items that a task holds as inverted lists, reads at once against them, and entries that it merges at once.
+BLOCK, PROBED, MERGED = 12_000_000, 2_000_000, 2_000_000
 STAR = 1_000
-#: Rows of three numbers that are broadcast at most, after they were counted.
+#: Classes of several records that are broadcast at most, after they were counted.
 SENT_ROWS = 1_000_000
+#: Occurrences are counted by bucket, in parts; and so many in memory.
+BUCKET_BITS, PART_BITS, COUNTED = 26, 6, 8_000_000
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -46,108 +51,296 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(shingles(word_numbers(words_of(text)), words).view(np.int64))
 
 
-def required(n: int, similarity: float) -> int:
-    """The least overlap with any partner that a set of ``n`` needs."""
-    return max(1, math.ceil(similarity * n - 1e-9))
-
-
 def _text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def shingle_sets(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
-    """``id, class, copy, n, items`` of the records that have a shingle.
+def _class_hash(items: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(items.tobytes()) - (1 << 63)
+
+
+def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
+    """``shingle_set`` of each text; the shingles of some hundred texts are made at once."""
+    out = []
+    for at in range(0, len(texts), 256):
+        numbers = [word_numbers(words_of(t)) for t in texts[at : at + 256]]
+        every = shingles(np.concatenate(numbers), words).view(np.int64)
+        begin = 0
+        for x in numbers:
+            own = np.sort(every[begin : begin + max(0, len(x) - words + 1)])
+            out.append(own[np.append(True, own[1:] != own[:-1])] if len(own) else own)
+            begin += len(x)
+    return out
+
+
+def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("id"), F.col(text).alias("text"))
 
-    Equal sets have the same class; in a class, equal texts, byte by byte, have the same ``copy``.
+
+def _facts(words: int):
+    """``id, class, copy`` of the records that have a shingle and, in rows without an id, ``part, counts``: how often shingles occur by bucket.
+
+    Equal sets have the same class; in a class, equal texts, byte by byte, have the same ``copy``. A class counts once in a task.
     """
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(held: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        buckets, counts = np.unique(np.concatenate(held) & ((1 << BUCKET_BITS) - 1), return_counts=True)
+        edges = np.searchsorted(buckets, np.arange((1 << PART_BITS) + 1) << (BUCKET_BITS - PART_BITS))
+        parts = [k for k in range(1 << PART_BITS) if edges[k] < edges[k + 1]]
+        packed = [_packed(buckets[edges[k] : edges[k + 1]] - (k << (BUCKET_BITS - PART_BITS)), counts[edges[k] : edges[k + 1]]) for k in parts]
+        none = [pa.nulls(len(parts), t) for t in (kind, pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([*none, pa.array(parts, pa.int32()), pa.array(packed, pa.binary())], names=["id", "class", "copy", "part", "counts"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held, size, kind = [], 0, None
         for batch in batches:
-            sets = [shingle_set(t, words) for t in batch["text"]]
-            out = pd.DataFrame({"id": batch["id"], "class": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets], "copy": [_text_hash(t) for t in batch["text"]], "n": [len(s) for s in sets], "items": sets})
-            yield out[out["n"] > 0]
-
-    kind = dict(df.dtypes)[key]
-    rows = df.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(each, f"id {kind}, class bigint, copy bigint, n int, items array<bigint>")
-
-
-def _merge(lists: list[list[int]]) -> Iterator[tuple[int, int]]:
-    """Heap-merge ascending lists: each entry with the number of lists it is in."""
-    last, count = -1, 0
-    for entry in heapq.merge(*lists) if len(lists) > 1 else lists[0]:
-        if entry == last:
-            count += 1
-        else:
-            if count:
-                yield last, count
-            last, count = entry, 1
-    if count:
-        yield last, count
-
-
-def _merge_shard(similarity: float):
-    """Partners of every set over the short lists of one shard: ``a, b, k``, ``b`` being the smaller set.
-
-    An entry at place ``f`` of the repeated shingles of its set, with ``r`` behind it, can lead to an overlap of at
-    most ``min(f) + 1 + min(r)``; entries that cannot reach what the two sizes ask for are not merged.
-    """
-    share = similarity / (1 + similarity)
+            kind, texts = batch.column("id").type, batch.column("text").to_pylist()
+            sets = shingle_sets(texts, words)
+            some = [k for k, s in enumerate(sets) if len(s)]
+            classes = [_class_hash(sets[k]) for k in some]
+            for k, c in zip(some, classes, strict=True):
+                if c not in seen:
+                    seen.add(c)
+                    held.append(sets[k])
+                    size += len(sets[k])
+            ids = batch.column("id").take(pa.array(some, pa.int64()))
+            copies = pa.array([_text_hash(texts[k]) for k in some], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(classes, pa.int64()), copies, pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.binary())], names=["id", "class", "copy", "part", "counts"])
+            if size > COUNTED:
+                yield counted(held, kind)
+                held, size = [], 0
+                seen.clear()
+        if held:
+            yield counted(held, kind)
+
+    return each
+
+
+def _packed(places: np.ndarray, counts: np.ndarray) -> bytes:
+    return zlib.compress(np.concatenate([np.diff(places, prepend=0), counts]).astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, counts = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view(np.uint32).reshape(2, -1).astype(np.int64)
+    return np.cumsum(steps), counts
+
+
+def _part_levels(bits: int):
+    """The levels of the buckets of one part: 0 where at most one shingle occurs, at most once; else by logarithm of the occurrences."""
 
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "class"], kind="stable")
-        n, c = pdf["n"].to_numpy(), pdf["class"].to_numpy()
-        ident = np.cumsum(np.append(False, (n[1:] != n[:-1]) | (c[1:] != c[:-1])))
-        first = np.append(0, np.flatnonzero(np.diff(ident)) + 1)
-        sizes, classes = n[first], c[first]
-        f, r = pdf["f"].to_numpy(), pdf["r"].to_numpy()
-        # Lists are runs of one shingle, block pair and side; within a run the entries ascend.
-        side = (pdf["block"].to_numpy() != pdf["i"].to_numpy()).astype(np.int8)
-        keys = [pdf[x].to_numpy() for x in ("item", "i", "j")]
-        order = np.lexsort((ident, side, keys[2], keys[1], keys[0]))
-        parts = [x[order] for x in (*keys, side)]
-        new = np.append(True, np.any([x[1:] != x[:-1] for x in parts], axis=0))
-        starts = np.append(np.flatnonzero(new), len(order))
-        run = np.cumsum(new) - 1
-        bounds = starts.tolist()
-        where = {key: k for k, key in enumerate(zip(*(x[starts[:-1]].tolist() for x in parts), strict=True))}
-        ident, f, r, n = ident[order], f[order], r[order], n[order]
-        inside = parts[1] == parts[2]
-        asks: dict[int, list[tuple[int, int]]] = {}
-        for at in range(len(order)):
-            own = run[at]
-            if not inside[at]:
-                own = where.get((int(parts[0][at]), int(parts[1][at]), int(parts[2][at]), 1 - int(parts[3][at])), -1)
-            if own >= 0 and starts[own + 1] - starts[own] > inside[at]:
-                asks.setdefault(int(ident[at]), []).append((at, own))
-        a, b, k = [], [], []
-        names, places, rests, counts = ident.tolist(), f.tolist(), r.tolist(), n.tolist()
-        for me, entries in asks.items():
-            low = int(np.searchsorted(sizes, math.ceil(similarity * int(sizes[me]) - 1e-9)))
-            lists = []
-            for at, own in entries:
-                begin, end = bounds[own], bounds[own + 1]
-                begin, end = bisect_left(names, low, begin, end), bisect_left(names, me, begin, end)
-                if end - begin > 64:
-                    part = slice(begin, end)
-                    reach = np.minimum(f[part], f[at]) + 1 + np.minimum(r[part], r[at]) + 1e-9
-                    good = ident[part][reach >= share * (n[part] + n[at])].tolist()
-                else:
-                    front, rest, need = places[at], rests[at], share * counts[at] - 1 - 1e-9
-                    good = [names[x] for x in range(begin, end) if min(places[x], front) + min(rests[x], rest) >= need + share * counts[x]]
-                if good:
-                    lists.append(good)
-            if lists:
-                for partner, count in _merge(lists):
-                    a.append(me)
-                    b.append(partner)
-                    k.append(count)
-        small = np.array(b, np.int64)
-        return pd.DataFrame({"a": classes[np.array(a, np.int64)], "b": classes[small], "n_b": sizes[small].astype(np.int32), "k": np.array(k, np.int32)})
+        total = np.zeros(1 << (BUCKET_BITS - PART_BITS), np.int64)
+        for data in pdf["counts"]:
+            places, counts = _unpacked(data)
+            total[places] += counts
+        total = total.reshape(1 << (bits - PART_BITS), -1).sum(axis=1)
+        levels = np.where(total < 2, 0, 1 + np.minimum(62, 3 * np.log2(np.maximum(total, 2) / 2)).astype(np.int64)).astype(np.uint8)
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "levels": [zlib.compress(levels.tobytes(), 1)]})
 
     return each
 
 
+def _levels(facts: DataFrame) -> np.ndarray:
+    """How common the shingles of each bucket are; at most ``2 ** BUCKET_BITS`` bytes, about four buckets for each different shingle."""
+    parts = facts.where("part is not null").select("part", "counts")
+    # A bucket takes some two bytes in the counts.
+    size = parts.agg(F.sum(F.length("counts"))).first()[0] or 0
+    bits = min(BUCKET_BITS, max(PART_BITS + 4, int(2 * size).bit_length()))
+    levels = np.zeros((1 << PART_BITS, 1 << (bits - PART_BITS)), np.uint8)
+    for row in parts.groupBy("part").applyInPandas(_part_levels(bits), "part int, levels binary").collect():
+        levels[row["part"]] = np.frombuffer(zlib.decompress(row["levels"]), np.uint8)
+    return levels.reshape(-1)
+
+
+def _coded(levels: Broadcast, words: int, similarity: float):
+    """``id, class, n, items`` of the sets that can have a partner: their repeated shingles, rare ones first.
+
+    The first six bits of an item are its level and the others the shingle's, so ascending order is the order of the lists.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = levels.value
+        shift = BUCKET_BITS - (len(known).bit_length() - 1)
+        for batch in batches:
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
+            n = np.array([len(s) for s in sets], np.int64)
+            every = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            level = known[(every & ((1 << BUCKET_BITS) - 1)) >> shift].astype(np.uint64)
+            code = (((level << np.uint64(58)) | (every.view(np.uint64) >> np.uint64(6))) ^ np.uint64(1 << 63)).view(np.int64)
+            repeated = np.append(0, np.cumsum(level > 0))
+            ends = np.cumsum(n)
+            m = repeated[ends] - repeated[ends - n]
+            some = np.flatnonzero((n > 0) & (m >= _least(n, similarity)))
+            items = [np.sort(code[a:b][level[a:b] > 0]) for a, b in zip((ends - n)[some].tolist(), ends[some].tolist(), strict=True)]
+            offsets = pa.array(np.append(0, np.cumsum(m[some])), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(items) if items else np.empty(0, np.int64)))
+            classes = pa.array([_class_hash(sets[k]) for k in some.tolist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(some)), classes, pa.array(n[some].astype(np.int32)), pa.array(m[some].astype(np.int32)), lists], names=["id", "class", "n", "m", "items"])
+
+    return each
+
+
+def _least(n: np.ndarray, similarity: float) -> np.ndarray:
+    return np.maximum(1, np.ceil(similarity * n - 1e-9)).astype(np.int64)
+
+
+@dataclass
+class _Sets:
+    """Some sets with their items one behind the other; ``take`` is the number of their short lists."""
+
+    label: np.ndarray
+    n: np.ndarray
+    items: np.ndarray
+    ends: np.ndarray
+    take: np.ndarray
+
+    @classmethod
+    def of(cls, batches: list[pa.RecordBatch], similarity: float, short: int) -> _Sets:
+        n, m = (np.concatenate([b.column(x).to_numpy() for b in batches]).astype(np.int64) for x in ("n", "m"))
+        least = _least(n, similarity)
+        items = np.concatenate([b.column("items").flatten().to_numpy() for b in batches])
+        return cls(np.concatenate([b.column("class").to_numpy() for b in batches]), n, items, np.cumsum(m), m - least + np.minimum(short, least))
+
+    def heads(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Item, set, place and number of items behind it, for all short lists."""
+        begin = np.append(0, self.ends[:-1])
+        owner = np.repeat(np.arange(len(self.n)), self.take)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(self.take) - self.take, self.take)
+        return self.items[begin[owner] + place], owner, place, (self.ends - begin)[owner] - place - 1
+
+    def set(self, k: int) -> np.ndarray:
+        return self.items[self.ends[k - 1] if k else 0 : self.ends[k]]
+
+
+class _Index:
+    """The inverted short lists of some sets, each ordered by the size of the sets."""
+
+    def __init__(self, sets: _Sets, similarity: float, short: int) -> None:
+        self.sets, self.similarity, self.short = sets, similarity, short
+        item, owner, place, rest = sets.heads()
+        order = np.lexsort((sets.n[owner], item))
+        item, self.owner, self.place, self.rest = item[order], *(x[order].astype(np.int32) for x in (owner, place, rest))
+        new = np.append(True, item[1:] != item[:-1])
+        self.known = item[new]
+        self.stride = int(sets.n.max()) + 1
+        self.at = (np.cumsum(new) - 1) * self.stride + sets.n[self.owner]
+
+    def partners(self, other: _Sets, own: bool) -> Iterator[pd.DataFrame]:
+        """The pairs of a set of ``other`` and one of these that are similar enough; ``own``: both sides are the same sets."""
+        item, owner, place, rest = other.heads()
+        # In the order of the items, as searches for ascending numbers are much faster.
+        order = np.argsort(item)
+        item = item[order]
+        where = np.minimum(np.searchsorted(self.known, item), len(self.known) - 1)
+        met = self.known[where] == item
+        where, order = where[met] * self.stride, order[met]
+        n = other.n[owner[order]]
+        low, high = np.ceil(self.similarity * n - 1e-9).astype(np.int64), np.floor(n / self.similarity + 1e-9).astype(np.int64)
+        begin = np.searchsorted(self.at, where + np.minimum(low, self.stride - 1))
+        length = np.searchsorted(self.at, where + np.minimum(high, self.stride - 1), "right") - begin
+        some = np.flatnonzero(length > 0)
+        some = some[np.argsort(order[some])]
+        order, begin, length = order[some], begin[some], length[some]
+        owner, place, rest = owner[order], place[order], rest[order]
+        reached = np.cumsum(length)
+        last = np.append(np.flatnonzero(owner[1:] != owner[:-1]) + 1, len(owner))
+        start = 0
+        while start < len(owner):
+            # Whole sets, of about so many entries together.
+            past = (reached[start - 1] if start else 0) + MERGED
+            fits = last[(last > start) & (reached[last - 1] <= past)]
+            stop = int(fits[-1]) if len(fits) else int(last[np.searchsorted(last, start, "right")])
+            part = slice(start, stop)
+            start = stop
+            yield from self._merged(other, own, owner[part], place[part], rest[part], begin[part], length[part])
+
+    def _merged(self, other: _Sets, own: bool, owner: np.ndarray, place: np.ndarray, rest: np.ndarray, begin: np.ndarray, length: np.ndarray) -> Iterator[pd.DataFrame]:
+        mine, t = self.sets, self.similarity
+        to = np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)
+        x, y = np.repeat(owner, length), self.owner[to]
+        # An entry can lead to an overlap of at most the lesser place, itself and the lesser rest.
+        reach = np.minimum(np.repeat(place, length), self.place[to]) + 1 + np.minimum(np.repeat(rest, length), self.rest[to]) + 1e-9
+        good = reach >= t / (1 + t) * (other.n[x] + mine.n[y])
+        good &= other.label[x] < mine.label[y] if own else other.label[x] != mine.label[y]
+        pair = np.sort(x[good].astype(np.int64) * len(mine.n) + y[good])
+        if not len(pair):
+            return
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        k = np.diff(np.append(starts, len(pair)))
+        x, y = np.divmod(pair[starts], len(mine.n))
+        enough = k >= np.minimum(self.short, _least(np.minimum(other.n[x], mine.n[y]), t))
+        x, y, k = x[enough], y[enough], k[enough]
+        # Lists up to the last short one of either set were merged; the rest of that set can add no more than its length.
+        ends = [s.items[np.append(0, s.ends[:-1])[z] + s.take[z] - 1] for s, z in ((other, x), (mine, y))]
+        behind = [(s.ends - np.append(0, s.ends[:-1]) - s.take)[z] for s, z in ((other, x), (mine, y))]
+        total = other.n[x] + mine.n[y]
+        need = t / (1 + t) * total - 1e-9
+        can = k + np.where(ends[0] < ends[1], behind[0], behind[1]) >= need
+        x, y, k, total = x[can], y[can], k[can], total[can]
+        end, overlap = np.minimum(*ends)[can], k.copy()
+        for i, (p, q, e) in enumerate(zip(x.tolist(), y.tolist(), end.tolist(), strict=True)):
+            one, two = other.set(p), mine.set(q)
+            one = one[np.searchsorted(one, e, "right") :]
+            at = np.searchsorted(two, one)
+            overlap[i] += np.count_nonzero(two[np.minimum(at, len(two) - 1)] == one)
+        similar = overlap >= t * (total - overlap) - 1e-9
+        if similar.any():
+            yield pd.DataFrame({"a": other.label[x], "b": mine.label[y], "overlap": overlap, "similarity": overlap / (total - overlap)})[similar]
+
+
+def _read(files: list[str], most: int, similarity: float, short: int) -> Iterator[_Sets]:
+    """The sets of some files, so many items at once."""
+    held, size = [], 0
+    for name in files:
+        system, path = fs.FileSystem.from_uri(name)
+        with system.open_input_file(path) as f:
+            for batch in parquet.ParquetFile(f).iter_batches(1_024, columns=["class", "n", "m", "items"]):
+                held.append(batch)
+                size += len(batch.column("items").flatten())
+                if size >= most:
+                    yield _Sets.of(held, similarity, short)
+                    held, size = [], 0
+    if held:
+        yield _Sets.of(held, similarity, short)
+
+
+def _compared(most: int, similarity: float, short: int):
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for index, against, own in zip(batch["index"], batch["against"], batch["own"], strict=True):
+                for sets in _read(list(index), most, similarity, short):
+                    held = _Index(sets, similarity, short)
+                    for files, same in [(index, True)] * own + [(against, False)]:
+                        for other in _read(list(files), PROBED, similarity, short):
+                            yield from held.partners(other, same)
+
+    return each
+
+
+def _comparisons(files: list[tuple[str, int]], most: int, tasks: int) -> list[tuple[list[str], list[str], bool]]:
+    """Which files are held and which are read against them, so that every two files meet once.
+
+    Files are put together to blocks of about ``most`` items; each block is held against itself and half of the others.
+    """
+    blocks: list[list[str]] = []
+    size = most
+    for name, items in files:
+        if size + items > most:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(name)
+        size += items
+    b = len(blocks)
+    out = []
+    for i in range(b):
+        others = [(i + d) % b for d in range(1, b // 2 + 1) if 2 * d < b or i < d]
+        pieces = min(len(others) + 1, max(1, -(-tasks // b)))
+        shares = [[blocks[j] for j in [None, *others][p::pieces] if j is not None] for p in range(pieces)]
+        out += [(blocks[i], sum(share, []), p == 0) for p, share in enumerate(shares)]
+    return out
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path := scratch_path(df.sparkSession, name))
     return df.sparkSession.read.parquet(path)
@@ -183,89 +376,57 @@ def _reassembled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield made(pd.concat(held))
 
 
-def _lists(sets: DataFrame, similarity: float) -> DataFrame:
-    """``class, n, ranks, dfs`` of the sets that can have a partner: ranks and lengths of the lists of their repeated shingles, shortest first.
+def _lists(df: DataFrame, facts: DataFrame, key: str, text: str, words: int, similarity: float) -> str:
+    """The path of the sets that can have a partner, one for each class.
 
-    Where the ranks are broadcast, the rows of a set stay together and nothing is moved by class.
+    Sets are made from the texts again instead of stored. Of equal sets, the one of the lowest id is kept; the others are left out
+    where the sets are made, so that no set is moved, unless too many classes have several records to broadcast them.
     """
-    postings = sets.select("class", "n", F.explode("items").alias("item"))
-    frequency = postings.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = _written(numbered(frequency, ["df", "item"], "rank"), "ranks")
-    least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9))
-    if ranked.count() <= SENT_ROWS:
-        held = postings.join(F.broadcast(ranked), "item").select("class", "n", "rank", "df")
-        listed = held.mapInPandas(_reassembled, "class bigint, n int, ranks array<bigint>, dfs array<bigint>")
-    else:
-        grouped = postings.join(ranked, "item").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "df"))).alias("l"))
-        listed = grouped.select("class", "n", F.col("l.rank").alias("ranks"), F.col("l.df").alias("dfs"))
-    return _written(listed.where(F.size("ranks") >= least), "lists")
-
-
-def similar_classes(sets: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
-    """``a, b, overlap, similarity`` of classes; ``sets`` has one row ``class, n, items`` for each class."""
-    listed = _lists(sets, similarity)
-    least = F.greatest(F.lit(1), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
-    # Of the lists of repeated shingles, all but the longest ``least - short``.
-    take = (F.size("ranks") - least + F.least(F.lit(short), least)).cast("int")
-    brief = listed.select("class", "n", F.size("ranks").alias("m"), F.posexplode(F.arrays_zip(F.slice("ranks", F.lit(1), take).alias("rank"), F.slice("dfs", F.lit(1), take).alias("df"))).alias("f", "x")).select(
-        "class", "n", "f", (F.col("m") - F.col("f") - 1).alias("r"), "x.df", F.col("x.rank").alias("item")
-    )
-    blocks = F.ceil(F.col("df") / BLOCK).cast("int")
-    brief = brief.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    spread = brief.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("item", "class", "n", "f", "r", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    shards = max(shuffle_width(sets.sparkSession), -(-total // SHARD_ROWS))
-    sharded = spread.withColumn("shard", F.pmod(F.xxhash64("item", "i", "j"), F.lit(shards)))
-    merged = sharded.groupBy("shard").applyInPandas(_merge_shard(similarity), "a bigint, b bigint, n_b int, k int")
-    enough = F.col("k") >= F.least(F.lit(short), F.ceil(F.col("n_b") * similarity - 1e-9))
-    counted = merged.groupBy("a", "b").agg(F.sum("k").cast("int").alias("k"), F.max("n_b").alias("n_b")).where(enough).drop("n_b")
-    sides = [listed.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("ranks").alias(f"l_{x}"), F.get("ranks", take - 1).alias(f"last_{x}")) for x in ("a", "b")]
-    pairs = counted.join(sides[1], "b").join(sides[0], "a")
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            overlap = pdf["k"].to_numpy(np.int64).copy()
-            # Lists up to the last short one of either set were merged; the rest are probed.
-            ends = np.minimum(pdf["last_a"].to_numpy(), pdf["last_b"].to_numpy())
-            for i, (x, y, end) in enumerate(zip(pdf["l_a"], pdf["l_b"], ends, strict=True)):
-                x = x[np.searchsorted(x, end, "right") :]
-                at = np.searchsorted(y, x)
-                overlap[i] += np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)
-            out = pdf[["a", "b"]].assign(overlap=overlap, similarity=overlap / (pdf["n_a"] + pdf["n_b"] - overlap))
-            yield out[overlap >= similarity * (pdf["n_a"] + pdf["n_b"] - overlap) - 1e-9]
-
-    return pairs.mapInPandas(probe, "a bigint, b bigint, overlap bigint, similarity double")
+    levels = df.sparkSession.sparkContext.broadcast(_levels(facts))
+    kind = dict(facts.dtypes)["id"]
+    made = _rows(df, key, text).mapInArrow(_coded(levels, words, similarity), f"id {kind}, class bigint, n int, m int, items array<bigint>")
+    several = facts.where("part is null").groupBy("class").agg(F.min("id").alias("lead"), F.max("id").alias("most")).where("lead <> most").select("class", "lead")
+    several = _written(several, "several")
+    if (count := several.count()) > 0:
+        made = made.join(F.broadcast(several) if count <= SENT_ROWS else several, "class", "left").where("lead is null or id = lead")
+    # Large dictionaries: an item then takes the bits of its number in the file, not eight bytes.
+    path = scratch_path(df.sparkSession, "lists")
+    made.select("class", "n", "m", "items").write.options(**{"maxRecordsPerFile": 20_000, "parquet.dictionary.page.size": 1 << 26, "parquet.page.size": 1 << 23}).parquet(path)
+    return path
+
+
+def similar_classes(df: DataFrame, facts: DataFrame, key: str, text: str, words: int = WORDS, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
+    """``a, b, overlap, similarity`` of classes, each pair once; ``facts`` are the stored facts of the records."""
+    spark = df.sparkSession
+    lists = spark.read.parquet(_lists(df, facts, key, text, words, similarity))
+    files = [(r["name"], r["items"]) for r in lists.groupBy(F.input_file_name().alias("name")).agg(F.sum("m").alias("items")).orderBy("name").collect()]
+    tasks = 3 * spark.sparkContext.defaultParallelism
+    # Large blocks are read against each other less often; so many of them make enough pairs for all tasks.
+    most = max(1, min(BLOCK, sum(items for _, items in files) // math.isqrt(2 * tasks)))
+    rows = _comparisons(files, most, tasks)
+    kind = "index array<string>, against array<string>, own boolean"
+    compared = spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, len(rows))), kind).mapInPandas(_compared(BLOCK, similarity, short), "a bigint, b bigint, overlap bigint, similarity double")
+    return _written(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap", "similarity").distinct(), "links")
 
 
 def _stored(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """The sets of the records, from a table in the shared folder."""
-    sets = shingle_sets(df, key, text, words)
-    return _written(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
-
+    """The facts of the records, from a table in the shared folder; the sets themselves are not stored."""
+    rows = _rows(df, key, text)
+    return _written(rows.mapInArrow(_facts(words), f"id {dict(rows.dtypes)['id']}, class bigint, copy bigint, part int, counts binary"), "facts")
 
-def _class_sets(stored: DataFrame) -> DataFrame:
-    """One row of each class; the other rows are left out where the sets are read, so that no set is moved."""
-    first = stored.groupBy("class").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    copies = stored.select("class", "row").join(first, "class").where("row <> first").select("row")
-    copies = _written(copies, "copies")
-    return stored.select("class", "n", "items", "row").join(F.broadcast(copies) if copies.count() <= SENT_ROWS else copies, "row", "left_anti").drop("row")
 
-
-def _prepared(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:
-    """The records with class and lead, and the sets of the classes."""
-    stored = _stored(df, key, text, words)
-    leads = stored.groupBy("class").agg(F.min("id").alias("lead"), F.countDistinct("id").alias("copies"))
-    records = stored.select("id", "class").distinct().join(leads, "class")
-    return records, _class_sets(stored)
+def _records(facts: DataFrame) -> DataFrame:
+    return facts.where("part is null").select("id", "class", "copy")
 
 
 def class_links(df: DataFrame, key: str, text: str, words: int = WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """The records ``id, class, lead, copies``, and the links ``lead_a, lead_b`` between different classes."""
-    records, sets = _prepared(df, key, text, words)
+    facts = _stored(df, key, text, words)
+    rows = _records(facts)
+    records = rows.select("id", "class").distinct().join(rows.groupBy("class").agg(F.min("id").alias("lead"), F.countDistinct("id").alias("copies")), "class")
     leads = records.select("class", "lead").distinct()
     links = (
-        similar_classes(sets, similarity)
+        similar_classes(df, facts, key, text, words, similarity)
         .join(leads.select(F.col("class").alias("a"), F.col("lead").alias("lead_a")), "a")
         .join(leads.select(F.col("class").alias("b"), F.col("lead").alias("lead_b")), "b")
     )
@@ -273,16 +434,16 @@ def class_links(df: DataFrame, key: str, text: str, words: int = WORDS, similari
 
 
 def _copy_groups(stored: DataFrame) -> DataFrame:
-    """``id, class, lead, copies``: the records of each class in groups of equal texts, with their lowest id.
+    """``id, class, lead, copies, mixed``: the records of each class in groups of equal texts, with their lowest id.
 
     An id that has several texts is a group of its own, as no other record stands for all of them.
     """
     held = stored.groupBy("id").agg(F.collect_set(F.struct("class", "copy")).alias("texts"))
     texts = held.select("id", (F.size("texts") > 1).alias("mixed"), F.inline("texts"))
-    sole = texts.where(~F.col("mixed")).select("id", "class", "copy")
+    sole = texts.where(~F.col("mixed"))
     leads = sole.groupBy("class", "copy").agg(F.min("id").alias("lead"), F.count("*").alias("copies"))
-    alone = texts.where("mixed").select("id", "class", F.col("id").alias("lead"), F.lit(1).cast("bigint").alias("copies")).distinct()
-    return sole.join(leads, ["class", "copy"]).select("id", "class", "lead", "copies").unionByName(alone)
+    alone = texts.where("mixed").select("id", "class", F.col("id").alias("lead"), F.lit(1).cast("bigint").alias("copies"), "mixed").distinct()
+    return sole.join(leads, ["class", "copy"]).select("id", "class", "lead", "copies", "mixed").unionByName(alone)
 
 
 def copy_classes(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
@@ -292,7 +453,7 @@ def copy_classes(df: DataFrame, key: str, text: str, words: int = WORDS) -> Data
     stands for all of them. One row for each record that can be similar to another; an id that has several
     texts is alone in its class.
     """
-    groups = _copy_groups(_stored(df, key, text, words)).select("id", "lead", "copies").distinct()
+    groups = _copy_groups(_records(_stored(df, key, text, words))).select("id", "lead", "copies").distinct()
     return groups.select(F.col("id").alias(key), F.col("lead").alias("class_id"), F.col("copies").alias("n_copies"))
 
 
@@ -302,18 +463,19 @@ def similar_pairs(df: DataFrame, key: str, text: str, words: int = WORDS, simila
     More than ``STAR`` records of one text, byte by byte, are given by their lowest id, to which each is linked;
     ``copy_classes`` tells which they are. Records of different texts are always given pair by pair.
     """
-    stored = _stored(df, key, text, words)
-    groups = _copy_groups(stored)
-    links = similar_classes(_class_sets(stored), similarity)
-    shown = groups.where((F.col("copies") <= STAR) | (F.col("id") == F.col("lead"))).select("class", "id")
-    across = (
-        links.join(shown.select(F.col("class").alias("a"), F.col("id").alias("x")), "a")
-        .join(shown.select(F.col("class").alias("b"), F.col("id").alias("y")), "b")
-        .select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-    )
-    inside = shown.select("class", F.col("id").alias("id_a")).join(shown.select("class", F.col("id").alias("id_b")), "class").where("id_a < id_b")
+    facts = _stored(df, key, text, words)
+    groups = _written(_copy_groups(_records(facts)), "groups")
+    links = similar_classes(df, facts, key, text, words, similarity)
+    shown = groups.where((F.col("copies") <= STAR) | (F.col("id") == F.col("lead")))
+    ends = [shown.select(F.col("class").alias(c), F.col("id").alias(x), F.col("mixed").alias(f"mixed_{x}")) for c, x in (("a", "x"), ("b", "y"), ("class", "x"), ("class", "y"))]
+    across = links.select("a", "b").join(ends[0], "a").join(ends[1], "b").where("x <> y")
+    inside = ends[2].join(ends[3], "class").where("x < y")
+    pairs = [p.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), (F.col("mixed_x") | F.col("mixed_y")).alias("mixed")) for p in (across, inside)]
+    both = pairs[0].unionByName(pairs[1])
     star = groups.where((F.col("copies") > STAR) & (F.col("id") != F.col("lead"))).select(F.col("lead").alias("id_a"), F.col("id").alias("id_b"))
-    return across.unionByName(inside.select("id_a", "id_b")).unionByName(star).where("id_a <> id_b").distinct()
+    # Only an id of several texts can be in a pair twice.
+    once = both.where(~F.col("mixed")).drop("mixed").unionByName(star)
+    return once.unionByName(both.where("mixed").drop("mixed").distinct()) if groups.where("mixed").limit(1).count() else once
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -8,11 +8,15 @@ import numpy as np
 import xxhash
 
 _WORD = re.compile(r"[^\W_]+")
+#: Letters and digits of ASCII in lower case, all else blank.
+_BLANKED = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalnum() else 32 for c in range(256))
 _KEEP = 500_000
 _known: dict[str, int] = {}
 
 
 def words_of(text: str | None) -> list[str]:
+    if text and text.isascii():
+        return text.encode().translate(_BLANKED).decode().split()
     return _WORD.findall(text.lower()) if text else []
 
 

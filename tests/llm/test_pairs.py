@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import pandas as pd
@@ -100,6 +101,39 @@ def test_star_of_an_id_with_two_texts(spark, monkeypatch):
     assert rebuilt(found, classes) == set(every)
 
 
+def written(spark, folder):
+    """Bytes shuffled so far, and bytes of the tables in the shared folder."""
+    shuffled = spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    return shuffled + sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*") if p.is_file())
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_similar_pairs_on_little_disk(spark, monkeypatch, tmp_path, sent):
+    monkeypatch.setattr(neardup, "SENT_ROWS", sent)
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 12))) for _ in range(4_000)]
+    rows, want = [], set()
+    for k in range(0, 3_000, 2):
+        words = [rng.choice(vocabulary) for _ in range(250)]
+        other = [*words[:120], rng.choice(vocabulary), *words[120:]]
+        rows += [(k, " ".join(words)), (k + 1, " ".join(other))]
+        want.add((k, k + 1))
+    spark.createDataFrame(rows, "id long, text string").repartition(2).write.parquet(path := str(tmp_path / "texts"))
+    size = sum(p.stat().st_size for p in pathlib.Path(path).glob("*.parquet"))
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = written(spark, folder)
+    found = {tuple(r) for r in neardup.similar_pairs(spark.read.parquet(path), "id", "text").collect()}
+    assert found == want
+    assert written(spark, folder) - before < 4 * size
+
+
+def test_words_of_ascii_texts():
+    rng = random.Random(12)
+    for _ in range(500):
+        text = "".join(chr(rng.randrange(128)) for _ in range(rng.randrange(80)))
+        assert words_of(text) == words_of(text + " é")[:-1]
+
+
 def shared(rows, length):
     held = {}
     for k, t in rows:
